@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.plans import bronze, gold
+from tally.plans import bronze, gold, silver
 from tally.sources.fixtures import RawTables
 
 # Test clock and look-backs of the registered queries.
@@ -48,6 +48,28 @@ class Pipeline:
         return self._get("staging", lambda: bronze.subscription_staging(
             self.event_log, self.raw["billing_transactions"], AS_OF_TS))
 
+    @property
+    def plan_info(self) -> DataFrame:
+        r = self.raw
+        return self._get("plan_info", lambda: silver.plan_info(
+            r["plans"], r["plan_features"], r["plan_pricing"]))
+
+    @property
+    def periods(self) -> DataFrame:
+        return self._get("periods", lambda: silver.subscription_periods(
+            self.staging, self.plan_info, AS_OF, AS_OF_TS, 90, 50))
+
+    @property
+    def activity(self) -> DataFrame:
+        return self._get("activity", lambda: silver.user_activity(
+            self.event_log, AS_OF, ACTIVITY_LOOKBACK))
+
+    def billing(self, lookback_days: int | None = 30) -> DataFrame:
+        r = self.raw
+        return self._get(f"billing_{lookback_days}", lambda: silver.payment_billing(
+            r["invoices"], r["invoice_line_items"], r["payment_methods"], AS_OF,
+            lookback_days))
+
 
 def _q(fn: Callable[[Pipeline], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +82,9 @@ QUERIES: dict[str, Query] = {
     "event_log": _q(lambda p: p.event_log),
     "subscription_staging": _q(lambda p: p.staging),
     "daily_event_counts": _q(lambda p: gold.daily_event_counts(p.event_log, AS_OF, 30)),
+    "plan_info": _q(lambda p: p.plan_info),
+    "subscription_periods": _q(lambda p: p.periods),
+    "user_activity": _q(lambda p: p.activity),
+    "active_users_weekly": _q(lambda p: silver.active_users_weekly(p.activity, AS_OF, 28)),
+    "payment_billing": _q(lambda p: p.billing(30)),
 }

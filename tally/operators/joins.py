@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DIMENSION_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan).
+    Beyond the bound the frame is returned unchanged and the join falls back
+    to a shuffle join (AQE may still pick a broadcast from runtime sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
