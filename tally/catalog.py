@@ -87,4 +87,9 @@ QUERIES: dict[str, Query] = {
     "user_activity": _q(lambda p: p.activity),
     "active_users_weekly": _q(lambda p: silver.active_users_weekly(p.activity, AS_OF, 28)),
     "payment_billing": _q(lambda p: p.billing(30)),
+    "daily_user_counts": _q(lambda p: gold.daily_user_counts(p.activity, p.periods, AS_OF, 30)),
+    "daily_revenue_counts": _q(lambda p: gold.daily_revenue_counts(
+        p.billing(30), p.periods, AS_OF, 30)),
+    "daily_revenue_point_in_time": _q(lambda p: gold.daily_revenue_counts(
+        p.billing(30), p.periods, AS_OF, 30, point_in_time=True)),
 }

@@ -18,8 +18,9 @@ The work per task is bounded by the bucket size, not the key size. Without a
 ``bucket`` the plain window is used; use that only when groups are bounded
 (e.g. at most 50 periods per user).
 
-``neighbor`` replaces LAG / LEAD once a dense sequence number exists: an
-equi-join on (key, seq +- n), balanced for any key size.
+LAG / LEAD by one row use the same pass: the stats carry each bucket's first
+and last value, so the first row of a bucket takes the previous bucket's last
+value and the last row takes the next bucket's first value.
 """
 
 from __future__ import annotations
@@ -41,8 +42,12 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 @dataclass(frozen=True)
 class Prefix:
-    """One prefix aggregate: ``fn`` in {"sum", "max", "count"} of ``value``
-    over the rows of the key up to this row (``inclusive``) or before it."""
+    """One ordered aggregate per row.
+
+    ``fn`` in {"sum", "max", "count"}: over the rows of the key up to this row
+    (``inclusive``) or before it; ``count`` inclusive is ROW_NUMBER.
+    ``fn`` in {"lag", "lead"}: ``value`` of the previous / next row (NULL at
+    the key's edge)."""
 
     name: str
     fn: str
@@ -71,6 +76,10 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
             part.append(F.sum(vals[a.name]).alias(f"_tly_p_{a.name}"))
         elif a.fn == "max":
             part.append(F.max(vals[a.name]).alias(f"_tly_p_{a.name}"))
+        elif a.fn == "lag":
+            part.append(F.max_by(vals[a.name], F.struct(*order_c)).alias(f"_tly_p_{a.name}"))
+        elif a.fn == "lead":
+            part.append(F.min_by(vals[a.name], F.struct(*order_c)).alias(f"_tly_p_{a.name}"))
     stats = d.groupBy(_K, _B).agg(*part)
 
     wk = Window.partitionBy(_K).orderBy(_B)
@@ -84,11 +93,17 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
             offs.append(F.sum(f"_tly_p_{a.name}").over(before).alias(f"_tly_o_{a.name}"))
         elif a.fn == "max":
             offs.append(F.max(f"_tly_p_{a.name}").over(before).alias(f"_tly_o_{a.name}"))
+        elif a.fn == "lag":
+            offs.append(F.lag(f"_tly_p_{a.name}").over(wk).alias(f"_tly_o_{a.name}"))
+        elif a.fn == "lead":
+            offs.append(F.lead(f"_tly_p_{a.name}").over(wk).alias(f"_tly_o_{a.name}"))
     stats = stats.select(*offs)
 
     j = d.join(stats, [_K, _B], "inner")
     wb = Window.partitionBy(_K, _B).orderBy(*order_c)
     out = j
+    if any(a.fn in ("lag", "lead") for a in aggs):
+        out = out.withColumn("_tly_rn", F.row_number().over(wb))
     for a in aggs:
         frame = wb.rowsBetween(Window.unboundedPreceding, 0 if a.inclusive else -1)
         if a.fn == "count":
@@ -100,11 +115,20 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
         elif a.fn == "max":
             out = out.withColumn(a.name, F.greatest(F.max(vals[a.name]).over(frame),
                                                     F.col(f"_tly_o_{a.name}")))
+        elif a.fn == "lag":
+            out = out.withColumn(a.name, F.when(F.col("_tly_rn") == 1, F.col(f"_tly_o_{a.name}"))
+                                 .otherwise(F.lag(vals[a.name]).over(wb)))
+        elif a.fn == "lead":
+            out = out.withColumn(a.name, F.when(F.col("_tly_rn") == F.col("_tly_n"),
+                                                F.col(f"_tly_o_{a.name}"))
+                                 .otherwise(F.lead(vals[a.name]).over(wb)))
         else:
             raise ValueError(f"unknown prefix function {a.fn!r}")
+        if a.fn == "count":
+            out = out.withColumn(a.name, F.col(a.name).cast("long"))
     if total:
         out = out.withColumn(total, F.col("_tly_tot"))
-    return out.drop(_K, _B, "_tly_n", "_tly_off", "_tly_tot",
+    return out.drop(_K, _B, "_tly_n", "_tly_off", "_tly_tot", "_tly_rn",
                     *[f"_tly_o_{a.name}" for a in aggs])
 
 
@@ -121,8 +145,14 @@ def _plain(df: DataFrame, keys: Sequence[str], order_c: list[Column],
             out = out.withColumn(a.name, F.sum(v).over(frame))
         elif a.fn == "max":
             out = out.withColumn(a.name, F.max(v).over(frame))
+        elif a.fn == "lag":
+            out = out.withColumn(a.name, F.lag(v).over(w))
+        elif a.fn == "lead":
+            out = out.withColumn(a.name, F.lead(v).over(w))
         else:
             raise ValueError(f"unknown prefix function {a.fn!r}")
+        if a.fn == "count":
+            out = out.withColumn(a.name, F.col(a.name).cast("long"))
     if total:
         out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     return out
@@ -131,14 +161,16 @@ def _plain(df: DataFrame, keys: Sequence[str], order_c: list[Column],
 def sequence_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], *,
                    bucket: Column | None = None, idx: str = "idx",
                    idx_inverse: str | None = "idx_inverse",
-                   count: str | None = "group_count") -> DataFrame:
+                   count: str | None = "group_count",
+                   extra: Sequence[Prefix] = ()) -> DataFrame:
     """R2: forward index (1 = first), reverse index (1 = last) and group size.
 
     The reverse index is ``count - idx + 1``: same values as a descending
     ROW_NUMBER over the reversed total order, without a second sort.
     """
     tot = count or "_tly_count"
-    out = prefix_aggregate(df, keys, order, [Prefix(idx, "count")], bucket=bucket, total=tot)
+    out = prefix_aggregate(df, keys, order, [Prefix(idx, "count"), *extra], bucket=bucket,
+                           total=tot)
     if idx_inverse:
         out = out.withColumn(idx_inverse, F.col(tot) - F.col(idx) + 1)
     if not count:
@@ -157,15 +189,3 @@ def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Colu
     return prefix_aggregate(df, list(keys), order, [Prefix(name, "sum", value)],
                             bucket=bucket)
 
-
-def neighbor(df: DataFrame, keys: Sequence[str], seq: str, cols: Sequence[str], *,
-             offset: int = 1, prefix: str = "next_") -> DataFrame:
-    """LEAD (``offset`` > 0) / LAG (< 0) of ``cols`` by a dense ``seq`` per key.
-
-    Left equi-join on (key, seq + offset): no window, no hot task.
-    """
-    k = F.struct(*[F.col(c) for c in keys])
-    other = df.select(k.alias(_K), (F.col(seq) - F.lit(offset)).alias("_tly_s"),
-                      *[F.col(c).alias(prefix + c) for c in cols])
-    base = df.withColumn(_K, k).withColumn("_tly_s", F.col(seq))
-    return base.join(other, [_K, "_tly_s"], "left").drop(_K, "_tly_s")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.ordered import neighbor, sequence_index
+from tally.operators.ordered import Prefix, sequence_index
 
 
 def classify_transitions(df: DataFrame, col: str, rules: Sequence[tuple[object, str]], *,
@@ -33,10 +33,11 @@ def transitions(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     """Per key in ``order``: ``seq``, ``prev_<value>``, ``next_<time>`` and a
     ``transition_type`` (first row of a key -> ``first_label``).
 
-    LAG / LEAD are equi-joins on (key, seq -+ 1), see ``tally.operators.ordered``.
+    With a ``bucket`` the per-key order is computed bucket-wise (see
+    ``tally.operators.ordered``), so a huge key is spread over many tasks.
     """
-    s = sequence_index(df, keys, order, bucket=bucket, idx=seq, idx_inverse=None, count=None)
-    s = neighbor(s, keys, seq, [value], offset=-1, prefix="prev_")
-    s = neighbor(s, keys, seq, [time], offset=1, prefix="next_")
+    s = sequence_index(df, keys, order, bucket=bucket, idx=seq, idx_inverse=None, count=None,
+                       extra=[Prefix(f"prev_{value}", "lag", value),
+                              Prefix(f"next_{time}", "lead", time)])
     return classify_transitions(s, value, rules, first=F.col(seq) == 1,
                                 first_label=first_label, default=default)

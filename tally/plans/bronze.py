@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.time import as_timestamp, day_start_epoch, epoch_to_ts, ts_lit
-from tally.operators.ordered import neighbor, sequence_index
+from tally.operators.ordered import Prefix, sequence_index
 from tally.operators.transitions import classify_transitions
 from tally.operators.union import union_sources
 
@@ -89,11 +89,11 @@ def subscription_staging(event_log_df: DataFrame, billing_transactions: DataFram
         ["event_ts", "event_source", "event_id", "plan_id", "amount_cents", "currency",
          "transaction_status"],
         bucket=F.date_trunc(bucket, F.col("event_ts")),
-        idx="event_seq", idx_inverse=None, count=None)
-    prev = neighbor(seq, ["user_id"], "event_seq", ["plan_id"], offset=-1, prefix="prev_")
-    both = neighbor(prev, ["user_id"], "event_seq", ["event_ts"], offset=1, prefix="next_")
+        idx="event_seq", idx_inverse=None, count=None,
+        extra=[Prefix("prev_plan_id", "lag", "plan_id"),
+               Prefix("next_event_ts", "lead", "event_ts")])
     classified = classify_transitions(
-        both, "event_type", rules=TRANSITION_RULES,
+        seq, "event_type", rules=TRANSITION_RULES,
         first=(F.col("event_seq") == 1) & (F.col("event_type") == "subscription_created"),
         first_label="new", default="other", out="transition_type")
     period_end = F.coalesce(F.col("next_event_ts"), ts_end)

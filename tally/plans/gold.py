@@ -62,3 +62,112 @@ def daily_event_counts(event_log_df: DataFrame, as_of: str | dt.date,
     out = change_pct(daily, "total_events", "metric_date", "lag",
                      other="prev_day_total_events")
     return out.select(*DAILY_EVENT_COLUMNS)
+
+
+DAILY_USER_COLUMNS = ["metric_date", "new_users", "returning_users", "total_active_users",
+                      "churned_users", "cumulative_users", "next_day_active_users",
+                      "dod_change_pct"]
+
+DAILY_REVENUE_COLUMNS = ["metric_date", "total_revenue_cents", "subscription_revenue_cents",
+                         "addon_revenue_cents", "refund_cents", "net_revenue_cents", "mrr_cents",
+                         "arr_cents", "free_tier_users", "standard_tier_users",
+                         "premium_tier_users", "enterprise_tier_users", "paying_users",
+                         "arpu_cents"]
+
+# Billed statuses and plan tiers.
+BILLED_STATUSES = ("completed", "refunded")
+TIERS = ("free", "standard", "premium", "enterprise")
+
+
+def daily_user_counts(user_activity_df: DataFrame, periods: DataFrame, as_of: str | dt.date,
+                      lookback_days: int = 30) -> DataFrame:
+    """Per activity day: new, returning, active and churned users,
+    cumulative new users (over the loaded days), next day's actives and the
+    change to it in percent (NULL on the last day).
+
+    The activity rows are joined to the periods containing the day (equi on
+    user, range residual). Conditional distinct counts are computed as one
+    row per (day, user) with class flags, then ``count_if``: no Expand.
+    """
+    from tally.operators.periods import join_containing
+
+    lo = as_date(as_of) - dt.timedelta(days=lookback_days)
+    act = user_activity_df.filter(F.col("activity_date") >= date_lit(lo)).select(
+        "user_id", "activity_date")
+    per = periods.select("user_id", "period_seq", "period_start", "period_end",
+                         "transition_type")
+    j = join_containing(act, "activity_date", per, "period_start", "period_end", "user_id")
+    day = F.col("activity_date")
+    start_d, end_d = F.to_date("period_start"), F.to_date("period_end")
+    per_user = j.groupBy("activity_date", "user_id").agg(
+        F.max((F.col("period_seq") == 1) & (start_d == day)).alias("is_new"),
+        F.max((F.col("period_seq") > 1) | (start_d < day)).alias("is_returning"),
+        F.max((F.col("transition_type") == "churn") & (end_d == day)).alias("is_churned"))
+    daily = per_user.groupBy(F.col("activity_date").alias("metric_date")).agg(
+        F.count_if(F.col("is_new")).alias("new_users"),
+        F.count_if(F.col("is_returning")).alias("returning_users"),
+        F.count(F.lit(1)).alias("total_active_users"),
+        F.count_if(F.col("is_churned")).alias("churned_users"))
+    w = Window.orderBy("metric_date")
+    out = daily.withColumn("cumulative_users", F.sum("new_users").over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = change_pct(out, "total_active_users", "metric_date", "lead",
+                     other="next_day_active_users")
+    return out.select(*DAILY_USER_COLUMNS)
+
+
+def daily_revenue_counts(payment_billing_df: DataFrame, periods: DataFrame,
+                         as_of: str | dt.date, lookback_days: int = 30,
+                         point_in_time: bool = False) -> DataFrame:
+    """Per day of the window: billed revenue by category, MRR / ARR and
+    users per tier from the periods covering the day, ARPU.
+
+    Default: periods flagged ``is_active`` today count on every day they
+    cover (as defined). ``point_in_time=True``: every non-churn period
+    covering the day counts, open or not.
+
+    Periods are clipped to the window and exploded into days (no range join);
+    per-tier distinct users come from one row per (day, user) with tier flags.
+    """
+    from tally.operators.periods import explode_days, merge_metrics
+
+    hi = as_date(as_of)
+    lo = hi - dt.timedelta(days=lookback_days)
+    cat = F.col("invoice_category")
+    total = F.col("total_cents")
+    zero = F.lit(0).cast("long")
+    billing = (payment_billing_df
+               .filter((F.col("invoice_date") >= date_lit(lo))
+                       & F.col("payment_status").isin(*BILLED_STATUSES))
+               .groupBy(F.col("invoice_date").alias("metric_date"))
+               .agg(F.sum(total).alias("total_revenue_cents"),
+                    F.sum(F.when(cat == "subscription", total).otherwise(zero))
+                    .alias("subscription_revenue_cents"),
+                    F.sum(F.when(cat == "addon", total).otherwise(zero))
+                    .alias("addon_revenue_cents"),
+                    F.sum(F.when(cat == "refund", F.abs(total)).otherwise(zero))
+                    .alias("refund_cents"),
+                    F.sum(F.coalesce(F.col("net_revenue_cents"), zero))
+                    .alias("net_revenue_cents")))
+    live = (F.col("transition_type") != "churn") if point_in_time else F.col("is_active")
+    days = explode_days(periods.filter(live).select("user_id", "plan_tier", "mrr_cents",
+                                                    "period_start", "period_end"),
+                        "period_start", "period_end", lo, hi)
+    tier = F.col("plan_tier")
+    per_user = days.groupBy("metric_date", "user_id").agg(
+        F.sum("mrr_cents").alias("mrr_cents"),
+        *[F.max(tier == t).alias(f"is_{t}") for t in TIERS],
+        F.max(tier != "free").alias("is_paying"))
+    mrr = per_user.groupBy("metric_date").agg(
+        F.sum("mrr_cents").alias("mrr_cents"),
+        *[F.count_if(F.col(f"is_{t}")).alias(f"{t}_tier_users") for t in TIERS],
+        F.count_if(F.col("is_paying")).alias("paying_users"))
+    m = merge_metrics(billing, mrr, "metric_date", fill=0)
+    paying = F.col("paying_users")
+    return m.select(
+        *DAILY_REVENUE_COLUMNS[:7],
+        (F.col("mrr_cents") * 12).alias("arr_cents"),
+        *DAILY_REVENUE_COLUMNS[8:13],
+        F.when(paying == 0, F.lit(0.0)).otherwise(
+            round_half(F.col("mrr_cents").cast("double") / paying.cast("double")))
+        .alias("arpu_cents"))
