@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.plans import bronze, gold, silver
+from tally.plans import bronze, gold, silver, text
 from tally.sources.fixtures import RawTables
 
 # Test clock and look-backs of the registered queries.
@@ -21,6 +21,10 @@ AS_OF_TS = "2024-01-31 00:00:00"
 BRONZE_LOOKBACK = 30
 ACTIVITY_LOOKBACK = 30
 
+# The test dictionary (ordered).
+TEST_DICTIONARY = [("motion", ["from", "with"]), ("quality", ["tion", "thon"]),
+                   ("people", ["ther"])]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -92,4 +96,9 @@ QUERIES: dict[str, Query] = {
         p.billing(30), p.periods, AS_OF, 30)),
     "daily_revenue_point_in_time": _q(lambda p: gold.daily_revenue_counts(
         p.billing(30), p.periods, AS_OF, 30, point_in_time=True)),
+    **{f"categorize_{src}": _q(lambda p, src=src, ct=ct: text.categorize_text(
+        p.raw[f"text_{src}"], TEST_DICTIONARY, ct)) for src, ct in text.CATEGORY_TYPES.items()},
+    "extract_terms": _q(lambda p: text.term_table(p.raw["text_reviews"])),
+    "match_categories": _q(lambda p: text.category_table(p.raw["text_tickets"],
+                                                         TEST_DICTIONARY)),
 }

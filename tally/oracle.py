@@ -342,6 +342,29 @@ cte("daily_revenue_pit", (), ("payment_billing", "periods"),
     _revenue_body("sp.transition_type <> 'churn'"))
 
 
+# The test dictionary (ordered).
+TEST_DICTIONARY = (("motion", ("from", "with")), ("quality", ("tion", "thon")),
+                   ("people", ("ther",)))
+_TERMS = r"regexp_extract_all(lower(title), '\p{L}{2,}')"
+
+
+def _dict_cats(terms: str) -> str:
+    parts = ", ".join(
+        f"CASE WHEN list_has_any({terms}, [{', '.join(repr(k) for k in kws)}]) THEN '{cat}' END"
+        for cat, kws in TEST_DICTIONARY)
+    return f"concat_ws(',', {parts})"
+
+
+def categorize(view: str, category_type: str) -> str:
+    return query(f"""
+WITH t AS (SELECT id, title, {_TERMS} AS terms FROM {view} WHERE title IS NOT NULL),
+c AS (SELECT id, title, array_to_string(terms, ',') AS nouns, {_dict_cats('terms')} AS cats
+      FROM t WHERE len(terms) > 0)
+SELECT id, title, nouns, CASE WHEN cats = '' THEN 'uncategorized' ELSE cats END AS category,
+  '{category_type}' AS category_type
+FROM c""", [], extra_views=(view,))
+
+
 def _closure(names: list[str]) -> tuple[list[str], list[str]]:
     """Raw views and job CTEs (dependency order) needed by ``names``."""
     order: list[str] = []
@@ -364,7 +387,7 @@ def _closure(names: list[str]) -> tuple[list[str], list[str]]:
 
 
 def query(final: str, uses: list[str], extra_views: tuple[str, ...] = ()) -> str:
-    """``WITH <raw views>, <job CTEs> <final>``."""
+    """``WITH <raw views>, <job CTEs> <final>`` (``final`` may start with WITH)."""
     views, jobs = _closure(uses)
     for v in extra_views:
         if v not in views:
@@ -374,7 +397,10 @@ def query(final: str, uses: list[str], extra_views: tuple[str, ...] = ()) -> str
         parts.append(duckdb_ctes(views))
     for j in jobs:
         parts.append(f"{j} AS (\n{CTE[j][2].strip()}\n)")
-    return "WITH " + ",\n".join(parts) + "\n" + final.strip()
+    final = final.strip()
+    if final.upper().startswith("WITH "):
+        return "WITH " + ",\n".join(parts) + ",\n" + final[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + final
 
 
 def job(name: str) -> str:
@@ -393,4 +419,17 @@ ORACLE: dict[str, str] = {
     "daily_user_counts": job("daily_user_counts"),
     "daily_revenue_counts": job("daily_revenue_counts"),
     "daily_revenue_point_in_time": job("daily_revenue_pit"),
+    "categorize_reviews": categorize("text_reviews", "product_review"),
+    "categorize_tickets": categorize("text_tickets", "support_ticket"),
+    "categorize_faq": categorize("text_faq", "faq_article"),
+    "categorize_feedback": categorize("text_feedback", "user_feedback"),
+    "extract_terms": query(f"""
+WITH t AS (SELECT id, {_TERMS} AS terms FROM text_reviews)
+SELECT id, CAST(len(terms) AS BIGINT) AS n_terms, array_to_string(terms, ',') AS terms
+FROM t WHERE len(terms) > 0""", [], extra_views=("text_reviews",)),
+    "match_categories": query(f"""
+WITH t AS (SELECT id, {_TERMS} AS terms FROM text_tickets),
+c AS (SELECT id, {_dict_cats('terms')} AS cats FROM t WHERE len(terms) > 0)
+SELECT id, CASE WHEN cats = '' THEN 'uncategorized' ELSE cats END AS category FROM c""", [],
+        extra_views=("text_tickets",)),
 }
