@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.plans import bronze, gold, silver, text
+from tally.plans import bronze, cohorts, derived, gold, silver, text
 from tally.sources.fixtures import RawTables
 
 # Test clock and look-backs of the registered queries.
@@ -74,6 +74,10 @@ class Pipeline:
             r["invoices"], r["invoice_line_items"], r["payment_methods"], AS_OF,
             lookback_days))
 
+    @property
+    def cohorts(self) -> DataFrame:
+        return self._get("cohorts", lambda: cohorts.cohort_base(self.raw["order_periods"]))
+
 
 def _q(fn: Callable[[Pipeline], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +105,21 @@ QUERIES: dict[str, Query] = {
     "extract_terms": _q(lambda p: text.term_table(p.raw["text_reviews"])),
     "match_categories": _q(lambda p: text.category_table(p.raw["text_tickets"],
                                                          TEST_DICTIONARY)),
+    "billing_events": _q(lambda p: derived.billing_events(
+        p.event_log, p.raw["billing_transactions"], AS_OF)),
+    "subscription_events_enriched": _q(lambda p: derived.subscription_events_enriched(
+        p.staging, p.plan_info)),
+    "period_calc": _q(lambda p: derived.period_calc(p.staging)),
+    "merged_periods": _q(lambda p: cohorts.merged_periods(p.raw["order_periods"])),
+    "cohort_base": _q(lambda p: p.cohorts),
+    "retention_matrix": _q(lambda p: cohorts.retention_matrix(p.raw["order_periods"],
+                                                              p.cohorts)),
+    "revenue_by_cohort": _q(lambda p: cohorts.revenue_by_cohort(p.raw["order_periods"],
+                                                                p.cohorts)),
+    "user_accounts": _q(lambda p: derived.user_accounts(p.event_log, p.periods)),
+    "daily_signups": _q(lambda p: derived.daily_signups(p.staging, AS_OF, 30)),
+    "billing": _q(lambda p: derived.billing(p.billing(None))),
+    "subscription_events": _q(lambda p: derived.subscription_events(p.staging)),
+    "payment_history": _q(lambda p: derived.payment_history(p.billing(None))),
+    "subscription_summary": _q(lambda p: derived.subscription_summary(p.periods)),
 }

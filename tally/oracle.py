@@ -365,6 +365,13 @@ SELECT id, title, nouns, CASE WHEN cats = '' THEN 'uncategorized' ELSE cats END
 FROM c""", [], extra_views=(view,))
 
 
+cte("cohort_base", ("order_periods",), (), """
+SELECT user_id, CAST(date_trunc('month', MIN(period_start)) AS DATE) AS cohort_month,
+  MIN(period_start) AS first_period_start
+FROM order_periods GROUP BY user_id""")
+
+
+
 def _closure(names: list[str]) -> tuple[list[str], list[str]]:
     """Raw views and job CTEs (dependency order) needed by ``names``."""
     order: list[str] = []
@@ -407,6 +414,121 @@ def job(name: str) -> str:
     return query(f"SELECT * FROM {name}", [name])
 
 
+_SPINE = (f"SELECT CAST(g AS DATE) AS metric_date FROM generate_series("
+          f"CAST({_days_before(30)} AS TIMESTAMP), CAST({AS_OF} AS TIMESTAMP), INTERVAL 1 DAY) t(g)")
+
+N_ORACLE = {
+    "billing_events": query(f"""
+SELECT e.user_id, e.event_id, e.event_ts, e.event_type, b.plan_id, b.amount_cents, b.currency,
+  b.transaction_status
+FROM event_log e JOIN billing_transactions b
+  ON e.user_id = b.user_id AND e.event_id = b.reference_event_id
+WHERE e.event_date >= CAST(date_trunc('month', {AS_OF}) AS DATE)
+  AND e.event_date < CAST(date_trunc('month', {AS_OF}) + INTERVAL 1 MONTH AS DATE)""",
+                            ["event_log"], ("billing_transactions",)),
+    "subscription_events_enriched": query("""
+SELECT s.user_id, s.event_seq, s.plan_id, s.prev_plan_id, s.transition_type, s.period_start,
+  s.period_end, s.amount_cents, s.currency, p.plan_name, p.plan_tier,
+  p.is_active AS plan_is_active, p.monthly_price_cents, p.annual_price_cents, p.trial_days
+FROM staging s LEFT JOIN plan_info p ON s.plan_id = p.plan_id""", ["staging", "plan_info"]),
+    "period_calc": query("""
+SELECT user_id, event_seq, plan_id, period_start, period_end, period_days AS days_active,
+  (transition_type = 'churn'
+   OR COALESCE(LEAD(transition_type) OVER (PARTITION BY user_id ORDER BY event_seq) = 'churn',
+               FALSE)) AS is_churned
+FROM staging""", ["staging"]),
+    "merged_periods": query("""
+WITH d AS (SELECT DISTINCT * FROM order_periods),
+m AS (
+  SELECT *, MAX(period_end) OVER (PARTITION BY user_id, plan_id
+      ORDER BY period_start, period_end, mrr_cents
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end
+  FROM d),
+f AS (SELECT *, CASE WHEN prev_end IS NULL OR period_start > prev_end THEN 1 ELSE 0 END AS brk
+      FROM m),
+i AS (
+  SELECT *, SUM(brk) OVER (PARTITION BY user_id, plan_id
+      ORDER BY period_start, period_end, mrr_cents ROWS UNBOUNDED PRECEDING) AS island_seq
+  FROM f)
+SELECT user_id, plan_id, CAST(island_seq AS BIGINT) AS island_seq,
+  MIN(period_start) AS period_start, MAX(period_end) AS period_end, COUNT(*) AS period_count
+FROM i GROUP BY user_id, plan_id, island_seq""", [], ("order_periods",)),
+    "cohort_base": job("cohort_base"),
+    "retention_matrix": query("""
+WITH mm AS (
+  SELECT user_id, unnest(generate_series(date_trunc('month', period_start),
+                                         date_trunc('month', period_end),
+                                         INTERVAL 1 MONTH)) AS m
+  FROM order_periods),
+am AS (SELECT DISTINCT user_id, CAST(m AS DATE) AS activity_month FROM mm),
+a AS (
+  SELECT c.cohort_month,
+    CAST(date_diff('month', c.cohort_month, am.activity_month) AS INTEGER) AS month_offset,
+    COUNT(*) AS active_users
+  FROM am JOIN cohort_base c ON am.user_id = c.user_id GROUP BY 1, 2),
+sz AS (SELECT cohort_month, COUNT(*) AS cohort_size FROM cohort_base GROUP BY 1)
+SELECT a.cohort_month, a.month_offset, a.active_users, sz.cohort_size,
+  CAST(ROUND(CAST(a.active_users / sz.cohort_size AS DECIMAL(20,6)), 4) AS DOUBLE)
+    AS retention_rate
+FROM a JOIN sz ON a.cohort_month = sz.cohort_month""", ["cohort_base"]),
+    "revenue_by_cohort": query("""
+SELECT c.cohort_month, CAST(date_trunc('month', o.period_start) AS DATE) AS revenue_month,
+  CAST(date_diff('month', c.cohort_month, CAST(date_trunc('month', o.period_start) AS DATE))
+       AS INTEGER) AS month_offset,
+  CAST(SUM(o.mrr_cents) AS BIGINT) AS revenue_cents,
+  COUNT(DISTINCT CASE WHEN o.mrr_cents > 0 THEN o.user_id END) AS paying_users
+FROM order_periods o JOIN cohort_base c ON o.user_id = c.user_id
+GROUP BY 1, 2, 3""", ["cohort_base"]),
+    "user_accounts": query("""
+WITH e AS (
+  SELECT user_id, MIN(event_ts) AS first_event_ts, MAX(event_ts) AS last_event_ts,
+    COUNT(*) AS event_count, COUNT(DISTINCT event_source) AS source_count
+  FROM event_log WHERE user_id > 0 GROUP BY user_id),
+l AS (
+  SELECT user_id, plan_id, plan_tier, is_active,
+    ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY period_seq DESC) AS rn
+  FROM periods)
+SELECT e.user_id, e.first_event_ts, e.last_event_ts, e.event_count, e.source_count,
+  l.plan_id AS current_plan_id, l.plan_tier AS current_plan_tier,
+  l.is_active AS subscription_active
+FROM e LEFT JOIN l ON e.user_id = l.user_id AND l.rn = 1""", ["event_log", "periods"]),
+    "daily_signups": query(f"""
+WITH f AS (
+  SELECT user_id, MIN(CAST(period_start AS DATE)) AS d FROM staging
+  WHERE transition_type = 'new' GROUP BY user_id),
+c AS (SELECT d, COUNT(*) AS n FROM f GROUP BY d),
+sp AS ({_SPINE})
+SELECT sp.metric_date, COALESCE(c.n, 0) AS signups
+FROM sp LEFT JOIN c ON sp.metric_date = c.d""", ["staging"]),
+    "billing": query("""
+SELECT invoice_id AS billing_id, user_id, invoice_date, invoice_category, line_item_count,
+  subtotal_cents, tax_cents, total_cents, currency, payment_status, payment_method_type,
+  paid_at, refunded_at, net_revenue_cents, payment_status = 'completed' AS is_paid
+FROM payment_billing_all""", ["payment_billing_all"]),
+    "subscription_events": query(
+        "SELECT * FROM staging WHERE transition_type <> 'renewal'", ["staging"]),
+    "payment_history": query("""
+SELECT user_id, invoice_id, invoice_date, payment_status, net_revenue_cents,
+  ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY invoice_date, invoice_id) AS payment_number,
+  CAST(SUM(COALESCE(net_revenue_cents, 0)) OVER (PARTITION BY user_id
+       ORDER BY invoice_date, invoice_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+    AS running_net_revenue_cents,
+  CAST(date_diff('day', LAG(invoice_date) OVER (PARTITION BY user_id
+       ORDER BY invoice_date, invoice_id), invoice_date) AS INTEGER) AS days_since_prev_payment
+FROM payment_billing_all""", ["payment_billing_all"]),
+    "subscription_summary": query("""
+WITH l AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY period_seq DESC) AS rn,
+    COUNT(*) OVER (PARTITION BY user_id) AS period_count,
+    SUM(mrr_cents) OVER (PARTITION BY user_id) AS lifetime
+  FROM periods)
+SELECT user_id, period_count, plan_id AS latest_plan_id, plan_tier AS latest_plan_tier,
+  transition_type AS latest_transition_type, period_start AS latest_period_start,
+  CAST(lifetime AS BIGINT) AS lifetime_revenue_cents, is_active
+FROM l WHERE rn = 1""", ["periods"]),
+}
+
+
 ORACLE: dict[str, str] = {
     "event_log": job("event_log"),
     "subscription_staging": job("staging"),
@@ -432,4 +554,5 @@ WITH t AS (SELECT id, {_TERMS} AS terms FROM text_tickets),
 c AS (SELECT id, {_dict_cats('terms')} AS cats FROM t WHERE len(terms) > 0)
 SELECT id, CASE WHEN cats = '' THEN 'uncategorized' ELSE cats END AS category FROM c""", [],
         extra_views=("text_tickets",)),
+    **N_ORACLE,
 }
