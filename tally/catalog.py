@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.plans import bronze, cohorts, derived, gold, silver, text
+from tally.plans import bronze, cohorts, derived, gold, operator_runs as ops, silver, text
 from tally.sources.fixtures import RawTables
 
 # Test clock and look-backs of the registered queries.
@@ -34,6 +34,8 @@ class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.raw = RawTables(spark, sf_dir)
         self.spark = self.raw.spark
+        self.as_of = AS_OF
+        self.as_of_ts = AS_OF_TS
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -122,4 +124,37 @@ QUERIES: dict[str, Query] = {
     "subscription_events": _q(lambda p: derived.subscription_events(p.staging)),
     "payment_history": _q(lambda p: derived.payment_history(p.billing(None))),
     "subscription_summary": _q(lambda p: derived.subscription_summary(p.periods)),
+    # reusable operators on whole tables
+    "union_sources": _q(ops.union_events),
+    "sequence_index": _q(ops.invoice_sequence),
+    "transitions": _q(ops.period_transitions),
+    "pivot_flags": _q(ops.feature_flags),
+    "pivot_max": _q(ops.price_pivot),
+    "walk_chain": _q(ops.chain_walk),
+    "session_buckets": _q(ops.session_buckets),
+    "first_last_by": _q(ops.first_last),
+    "active_by_day": _q(ops.active_by_day),
+    "point_in_period": _q(ops.point_in_period),
+    "dominant_category": _q(ops.invoice_categories),
+    "running_total": _q(ops.global_running_total),
+    "dod_change_lag": _q(ops.dod_lag),
+    "dod_change_lead": _q(ops.dod_lead),
+    "tier_users": _q(ops.tier_users),
+    "merge_metrics": _q(ops.merged_daily),
+    "replace_window": _q(ops.window_replace),
+    # data-quality rules
+    "dq_not_empty": _q(lambda p: ops.dq(p, "subscription_summary", [{"type": "not_empty"}])),
+    "dq_row_count": _q(lambda p: ops.dq(p, "daily_user_counts", [
+        {"type": "row_count_range", "min": 1, "max": 500_000}])),
+    "dq_no_nulls": _q(lambda p: ops.dq(p, "billing", [{"type": "no_nulls",
+                                                        "column": "billing_id"}])),
+    "dq_unique": _q(lambda p: ops.dq(p, "event_log", [{"type": "unique",
+                                                        "column": "event_id"}])),
+    "dq_freshness": _q(lambda p: ops.dq(p, "daily_user_counts", [
+        {"type": "freshness", "column": "metric_date", "max_hours": 48}])),
+    "dq_period_order": _q(lambda p: ops.dq(p, "subscription_periods", [
+        {"type": "expression", "condition": "period_start > period_end"}])),
+    "dq_unique_key": _q(lambda p: ops.dq(p, "subscription_periods", [
+        {"type": "unique_key", "columns": ["user_id", "period_seq"]}])),
+    "dq_report": _q(lambda p: ops.dq(p, "subscription_periods", ops.DQ_REPORT_RULES)),
 }

@@ -66,8 +66,8 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     order_c = _cols(order)
     if bucket is None:
         return _plain(df, keys, order_c, aggs, total)
-    d = df.withColumn(_K, F.struct(*[F.col(k) for k in keys])) \
-          .withColumn(_B, F.struct(bucket.alias("b")))
+    key_cols = [F.col(k) for k in keys] or [F.lit(0).alias("_")]  # global: one key
+    d = df.withColumn(_K, F.struct(*key_cols)).withColumn(_B, F.struct(bucket.alias("b")))
     vals = {a.name: (F.col(a.value) if isinstance(a.value, str) else a.value) for a in aggs}
 
     part = [F.count(F.lit(1)).alias("_tly_n")]
@@ -134,7 +134,7 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
 
 def _plain(df: DataFrame, keys: Sequence[str], order_c: list[Column],
            aggs: Sequence[Prefix], total: str | None) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order_c)
+    w = Window.partitionBy(*keys).orderBy(*order_c) if keys else Window.orderBy(*order_c)
     out = df
     for a in aggs:
         frame = w.rowsBetween(Window.unboundedPreceding, 0 if a.inclusive else -1)
