@@ -43,11 +43,19 @@ class Pipeline:
             self._cache[name] = build()
         return self._cache[name]
 
+    @property
+    def indexed_event_log(self) -> DataFrame:
+        r = self.raw
+        return self._get("indexed_event_log", lambda: bronze.event_log(
+            r["user_events"], r["system_events"], r["api_events"], AS_OF, BRONZE_LOOKBACK))
+
     @property
     def event_log(self) -> DataFrame:
+        """The event log without the per-user index columns (no job below reads them)."""
         r = self.raw
         return self._get("event_log", lambda: bronze.event_log(
-            r["user_events"], r["system_events"], r["api_events"], AS_OF, BRONZE_LOOKBACK))
+            r["user_events"], r["system_events"], r["api_events"], AS_OF, BRONZE_LOOKBACK,
+            index=False))
 
     @property
     def staging(self) -> DataFrame:
@@ -89,7 +97,7 @@ def _q(fn: Callable[[Pipeline], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    "event_log": _q(lambda p: p.event_log),
+    "event_log": _q(lambda p: p.indexed_event_log),
     "subscription_staging": _q(lambda p: p.staging),
     "daily_event_counts": _q(lambda p: gold.daily_event_counts(p.event_log, AS_OF, 30)),
     "plan_info": _q(lambda p: p.plan_info),

@@ -34,7 +34,7 @@ STAGING_COLUMNS = ["user_id", "plan_id", "prev_plan_id", "period_start", "period
 
 def event_log(user_events: DataFrame, system_events: DataFrame, api_events: DataFrame,
               as_of: str | dt.date, lookback_days: int | None = 3,
-              bucket_seconds: int = 60) -> DataFrame:
+              bucket_seconds: int = 60, index: bool = True) -> DataFrame:
     """The three event sources in one indexed log.
 
     * look-back on the raw ``epoch_ts`` (pushed into each parquet scan);
@@ -45,6 +45,8 @@ def event_log(user_events: DataFrame, system_events: DataFrame, api_events: Data
 
     The per-user index is computed per (user, minute) bucket plus prefix
     offsets, so the anonymous user -1 does not end up in one task.
+    ``index=False`` leaves the three index columns out (no shuffle at all):
+    the downstream jobs read only the event columns.
     """
     where = None
     if lookback_days is not None:
@@ -54,16 +56,18 @@ def event_log(user_events: DataFrame, system_events: DataFrame, api_events: Data
         {"user": user_events.select(*cols), "system": system_events.select(*cols),
          "api": api_events.select(*cols)},
         "event_source", null_key=("user_id", -1), except_tags=("user",), where=where)
+    base = [
+        "event_id", "user_id", "event_type", "event_payload", "event_source",
+        epoch_to_ts("epoch_ts").alias("event_ts"),
+        F.to_date(epoch_to_ts("epoch_ts")).alias("event_date"),
+        F.col("created_at").alias("source_created_at")]
+    if not index:
+        return union.select(*base)
     indexed = sequence_index(
         union, ["user_id"], ["epoch_ts", "event_source", "event_id"],
         bucket=F.floor(F.col("epoch_ts") / F.lit(bucket_seconds)),
         idx="idx", idx_inverse="idx_inverse", count="user_event_count")
-    return indexed.select(
-        "event_id", "user_id", "event_type", "event_payload", "event_source",
-        epoch_to_ts("epoch_ts").alias("event_ts"),
-        F.to_date(epoch_to_ts("epoch_ts")).alias("event_date"),
-        F.col("created_at").alias("source_created_at"),
-        "idx", "idx_inverse", "user_event_count")
+    return indexed.select(*base, "idx", "idx_inverse", "user_event_count")
 
 
 def subscription_staging(event_log_df: DataFrame, billing_transactions: DataFrame,

@@ -1,0 +1,10 @@
+"""Streaming.
+
+The source system has no streams: every input is a bounded table and the
+jobs are re-run once a day over a look-back window. Late rows are handled
+by that re-run: ``tally.operators.replace.replace_window`` /
+``tally.sinks.tables.replace_window_table`` replace the window's rows
+idempotently. A continuous deployment would call ``tally.plans.pipeline.run_all``
+from a scheduler (or from ``foreachBatch`` of a file-source stream); no
+stateful streaming operator is needed for these semantics.
+"""
