@@ -71,7 +71,7 @@ class Pipeline:
     @property
     def periods(self) -> DataFrame:
         return self._get("periods", lambda: silver.subscription_periods(
-            self.staging, self.plan_info, AS_OF, AS_OF_TS, 90, 50))
+            self.staging, self.plan_info, AS_OF, AS_OF_TS, 90, 50, plans=self.raw["plans"]))
 
     @property
     def activity(self) -> DataFrame:
@@ -118,7 +118,7 @@ QUERIES: dict[str, Query] = {
     "billing_events": _q(lambda p: derived.billing_events(
         p.event_log, p.raw["billing_transactions"], AS_OF)),
     "subscription_events_enriched": _q(lambda p: derived.subscription_events_enriched(
-        p.staging, p.plan_info)),
+        p.staging, p.plan_info, p.raw["plans"])),
     "period_calc": _q(lambda p: derived.period_calc(p.staging)),
     "merged_periods": _q(lambda p: cohorts.merged_periods(p.raw["order_periods"])),
     "cohort_base": _q(lambda p: p.cohorts),

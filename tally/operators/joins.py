@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 DIMENSION_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan).
+    ``bound_by`` is a cheaper frame with at least as many rows as ``df``
+    (e.g. the source table of a dimension that keeps one row per source
+    row); the bound is then proven on it instead of computing ``df`` twice.
     Beyond the bound the frame is returned unchanged and the join falls back
     to a shuffle join (AQE may still pick a broadcast from runtime sizes).
     """
-    n = df.limit(max_rows + 1).count()
+    probe = bound_by if bound_by is not None else df
+    n = probe.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -31,11 +31,12 @@ def billing_events(event_log_df: DataFrame, billing_transactions: DataFrame,
         "transaction_status")
 
 
-def subscription_events_enriched(staging: DataFrame, plan_info_df: DataFrame) -> DataFrame:
+def subscription_events_enriched(staging: DataFrame, plan_info_df: DataFrame,
+                                 plans: DataFrame | None = None) -> DataFrame:
     """Staging rows with the plan's metadata (left join, plan may be unknown)."""
     dim = bounded_broadcast(plan_info_df.select(
         "plan_id", "plan_name", "plan_tier", F.col("is_active").alias("plan_is_active"),
-        "monthly_price_cents", "annual_price_cents", "trial_days"))
+        "monthly_price_cents", "annual_price_cents", "trial_days"), bound_by=plans)
     return staging.join(dim, "plan_id", "left").select(
         "user_id", "event_seq", "plan_id", "prev_plan_id", "transition_type", "period_start",
         "period_end", "amount_cents", "currency", "plan_name", "plan_tier", "plan_is_active",

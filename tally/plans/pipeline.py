@@ -69,7 +69,7 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     job("plan_info", lambda: silver.plan_info(raw["plans"], raw["plan_features"],
                                               raw["plan_pricing"]))
     job("subscription_periods", lambda: silver.subscription_periods(
-        t["subscription_staging"], t["plan_info"], as_of, as_of_ts))
+        t["subscription_staging"], t["plan_info"], as_of, as_of_ts, plans=raw["plans"]))
     job("user_activity", lambda: silver.user_activity(t["event_log"], as_of, activity_lookback))
     job("active_users_weekly", lambda: silver.active_users_weekly(t["user_activity"], as_of))
     job("payment_billing", lambda: silver.payment_billing(
@@ -82,7 +82,7 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     job("billing_events", lambda: derived.billing_events(
         t["event_log"], raw["billing_transactions"], as_of))
     job("subscription_events_enriched", lambda: derived.subscription_events_enriched(
-        t["subscription_staging"], t["plan_info"]))
+        t["subscription_staging"], t["plan_info"], raw["plans"]))
     job("period_calc", lambda: derived.period_calc(t["subscription_staging"]))
     job("user_accounts", lambda: derived.user_accounts(t["event_log"],
                                                        t["subscription_periods"]))

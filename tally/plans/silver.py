@@ -78,20 +78,22 @@ def plan_info(plans: DataFrame, plan_features: DataFrame, plan_pricing: DataFram
 
 def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str | dt.date,
                          as_of_ts: str | dt.datetime | None = None, lookback_days: int = 90,
-                         max_periods: int = 50) -> DataFrame:
+                         max_periods: int = 50, plans: DataFrame | None = None) -> DataFrame:
     """The period chain of users whose first subscription event lies in the
     look-back, at most ``max_periods`` periods, with plan, previous tier, MRR,
     trial and active flags and running revenue.
 
     ``is_active``: not a churn, and the period is still open (or ends after
     ``as_of_ts``). MRR: free tier 0, else the amount (one currency assumed).
+    ``plans`` (the raw plan table, one plan_info row per plan at most) lets
+    the broadcast size check run on the source instead of the dimension.
     """
     now = as_of_ts if isinstance(as_of_ts, dt.datetime) else as_timestamp(as_of_ts, as_of)
     lo = as_timestamp(None, as_date(as_of) - dt.timedelta(days=lookback_days))
     chain = walk_chain(staging, "user_id", "event_seq", "period_start", "period_end",
                        anchor=F.col("period_start") >= ts_lit(lo), max_depth=max_periods)
     dim = bounded_broadcast(plan_info_df.select("plan_id", "plan_name", "plan_tier",
-                                                "trial_days"))
+                                                "trial_days"), bound_by=plans)
     cur = dim.alias("pi")
     prev = dim.select(F.col("plan_id").alias("prev_plan_id"),
                       F.col("plan_tier").alias("prev_plan_tier"))
