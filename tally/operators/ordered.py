@@ -14,9 +14,20 @@ event time):
 3. join the offsets back on (key, bucket) and finish with a window over
    (key, bucket), which reuses the join's hash partitioning.
 
-The work per task is bounded by the bucket size, not the key size. Without a
-``bucket`` the plain window is used; use that only when groups are bounded
-(e.g. at most 50 periods per user).
+The work per task is bounded by the bucket size, not the key size. A single
+bucket can itself be hot (a burst of the anonymous user within one minute):
+with ``refine`` the operator first counts rows per (key, bucket) -- one
+map-side combined aggregation -- and splits only the buckets above
+``hot_rows`` further by ``refine`` (the leading order columns plus a block
+of a unique id, so a refined bucket has a bounded number of rows). Cold
+buckets keep their coarse value, so the stats stay small. Splitting is a
+performance choice only -- any subset of buckets may be split and the result
+is the same -- so the hot list is cut to the ``MAX_HOT_BUCKETS`` hottest
+(deterministic order) and broadcast with that proven bound: the data side is
+never shuffled for it.
+
+Without a ``bucket`` the plain window is used; use that only when groups are
+bounded (e.g. at most 50 periods per user).
 
 LAG / LEAD by one row use the same pass: the stats carry each bucket's first
 and last value, so the first row of a bucket takes the previous bucket's last
@@ -34,6 +45,12 @@ from pyspark.sql import functions as F
 from tally.functions.numeric import null_add
 
 _K, _B = "_tly_k", "_tly_b"
+# A bucket above this many rows is split further (when ``refine`` is given).
+HOT_BUCKET_ROWS = 1_000_000
+# Rows per block of a unique id used to split a hot bucket.
+ID_BLOCK = 100_000
+# At most this many hot buckets are split (the hottest first).
+MAX_HOT_BUCKETS = 100_000
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -57,17 +74,34 @@ class Prefix:
 
 def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                      aggs: Sequence[Prefix], *, bucket: Column | None = None,
-                     total: str | None = None) -> DataFrame:
+                     total: str | None = None, refine: Sequence[Column] | None = None,
+                     hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """Add running aggregates per ``keys`` in ``order`` (a total order).
 
     ``count`` with ``inclusive=True`` is ROW_NUMBER. ``total`` adds the group
-    size. ``bucket`` must be non-decreasing along ``order`` within a key.
+    size. ``bucket`` must be non-decreasing along ``order`` within a key;
+    ``refine`` (for buckets above ``hot_rows`` rows) must be non-decreasing
+    along ``order`` among the rows of one bucket -- e.g. the order columns
+    themselves with the last one cut into blocks.
     """
     order_c = _cols(order)
     if bucket is None:
         return _plain(df, keys, order_c, aggs, total)
     key_cols = [F.col(k) for k in keys] or [F.lit(0).alias("_")]  # global: one key
-    d = df.withColumn(_K, F.struct(*key_cols)).withColumn(_B, F.struct(bucket.alias("b")))
+    d = df.withColumn(_K, F.struct(*key_cols))
+    if refine:
+        d = d.withColumn("_tly_c", bucket)
+        hot = (d.groupBy(_K, "_tly_c").agg(F.count(F.lit(1)).alias("_tly_cn"))
+                .filter(F.col("_tly_cn") > hot_rows)
+                .orderBy(F.col("_tly_cn").desc(), _K, "_tly_c").limit(MAX_HOT_BUCKETS)
+                .select(_K, "_tly_c", F.lit(True).alias("_tly_hot")))
+        d = d.join(F.broadcast(hot), [_K, "_tly_c"], "left")
+        fine = F.when(F.col("_tly_hot"), F.struct(*[c.alias(f"r{i}") for i, c in
+                                                    enumerate(refine)]))
+        d = d.withColumn(_B, F.struct(F.col("_tly_c").alias("b"), fine.alias("f"))) \
+             .drop("_tly_c", "_tly_hot")
+    else:
+        d = d.withColumn(_B, F.struct(bucket.alias("b")))
     vals = {a.name: (F.col(a.value) if isinstance(a.value, str) else a.value) for a in aggs}
 
     part = [F.count(F.lit(1)).alias("_tly_n")]
@@ -162,7 +196,8 @@ def sequence_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
                    bucket: Column | None = None, idx: str = "idx",
                    idx_inverse: str | None = "idx_inverse",
                    count: str | None = "group_count",
-                   extra: Sequence[Prefix] = ()) -> DataFrame:
+                   extra: Sequence[Prefix] = (), refine: Sequence[Column] | None = None,
+                   hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """R2: forward index (1 = first), reverse index (1 = last) and group size.
 
     The reverse index is ``count - idx + 1``: same values as a descending
@@ -170,7 +205,7 @@ def sequence_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     """
     tot = count or "_tly_count"
     out = prefix_aggregate(df, keys, order, [Prefix(idx, "count"), *extra], bucket=bucket,
-                           total=tot)
+                           total=tot, refine=refine, hot_rows=hot_rows)
     if idx_inverse:
         out = out.withColumn(idx_inverse, F.col(tot) - F.col(idx) + 1)
     if not count:
@@ -180,12 +215,18 @@ def sequence_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
 
 def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Column],
                   keys: Sequence[str] = (), *, name: str = "running_total",
-                  bucket: Column | None = None) -> DataFrame:
+                  bucket: Column | None = None, refine: Sequence[Column] | None = None,
+                  hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """SUM(value) over rows unbounded preceding .. current row.
 
     ``keys=()`` is a global running total; give it a ``bucket`` so that it is
     not computed in a single task.
     """
     return prefix_aggregate(df, list(keys), order, [Prefix(name, "sum", value)],
-                            bucket=bucket)
+                            bucket=bucket, refine=refine, hot_rows=hot_rows)
+
+
+def id_block(col: str, size: int = ID_BLOCK) -> Column:
+    """``floor(col / size)``: cuts a unique id into blocks of at most ``size`` rows."""
+    return F.floor(F.col(col) / F.lit(size))
 

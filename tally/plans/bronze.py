@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.time import as_timestamp, day_start_epoch, epoch_to_ts, ts_lit
-from tally.operators.ordered import Prefix, sequence_index
+from tally.operators.ordered import Prefix, id_block, sequence_index
 from tally.operators.transitions import classify_transitions
 from tally.operators.union import union_sources
 
@@ -66,6 +66,7 @@ def event_log(user_events: DataFrame, system_events: DataFrame, api_events: Data
     indexed = sequence_index(
         union, ["user_id"], ["epoch_ts", "event_source", "event_id"],
         bucket=F.floor(F.col("epoch_ts") / F.lit(bucket_seconds)),
+        refine=[F.col("epoch_ts"), F.col("event_source"), id_block("event_id")],
         idx="idx", idx_inverse="idx_inverse", count="user_event_count")
     return indexed.select(*base, "idx", "idx_inverse", "user_event_count")
 
@@ -93,6 +94,7 @@ def subscription_staging(event_log_df: DataFrame, billing_transactions: DataFram
         ["event_ts", "event_source", "event_id", "plan_id", "amount_cents", "currency",
          "transaction_status"],
         bucket=F.date_trunc(bucket, F.col("event_ts")),
+        refine=[F.col("event_ts"), F.col("event_source"), id_block("event_id")],
         idx="event_seq", idx_inverse=None, count=None,
         extra=[Prefix("prev_plan_id", "lag", "plan_id"),
                Prefix("next_event_ts", "lead", "event_ts")])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tally.functions.time import as_date, date_lit
 from tally.operators.joins import bounded_broadcast
-from tally.operators.ordered import Prefix, prefix_aggregate
+from tally.operators.ordered import Prefix, id_block, prefix_aggregate
 from tally.operators.periods import date_spine
 
 SEQ_BUCKET_ROWS = 1000
@@ -108,7 +108,8 @@ def payment_history(payment_billing_df: DataFrame) -> DataFrame:
         [Prefix("payment_number", "count"),
          Prefix("running_net_revenue_cents", "sum", "_tly_net"),
          Prefix("_tly_prev_date", "lag", "invoice_date")],
-        bucket=F.trunc("invoice_date", "month"))
+        bucket=F.trunc("invoice_date", "month"),
+        refine=[F.col("invoice_date"), id_block("invoice_id")])
     return h.select("user_id", "invoice_id", "invoice_date", "payment_status",
                     "net_revenue_cents", "payment_number", "running_net_revenue_cents",
                     F.datediff("invoice_date", "_tly_prev_date").alias("days_since_prev_payment"))

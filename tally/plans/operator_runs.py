@@ -17,7 +17,7 @@ from tally.operators.category import dominant_category
 from tally.operators.chain import walk_chain
 from tally.operators.counting import count_distinct_by
 from tally.operators.joins import bounded_broadcast
-from tally.operators.ordered import running_total, sequence_index
+from tally.operators.ordered import id_block, running_total, sequence_index
 from tally.operators.periods import explode_days, join_containing, merge_metrics
 from tally.operators.pivot import pivot_flags, pivot_max
 from tally.operators.replace import replace_window
@@ -41,7 +41,8 @@ def union_events(p) -> DataFrame:
 def invoice_sequence(p) -> DataFrame:
     inv = p.raw["invoices"].select("invoice_id", "user_id", "invoice_date")
     return sequence_index(inv, ["user_id"], ["invoice_date", "invoice_id"],
-                          bucket=F.trunc("invoice_date", "month"))
+                          bucket=F.trunc("invoice_date", "month"),
+                          refine=[F.col("invoice_date"), id_block("invoice_id")])
 
 
 def period_transitions(p) -> DataFrame:
@@ -108,7 +109,8 @@ def invoice_categories(p) -> DataFrame:
 def global_running_total(p) -> DataFrame:
     b = p.billing(None).select("invoice_id", "invoice_date", "total_cents")
     return running_total(b, "total_cents", ["invoice_date", "invoice_id"],
-                         name="running_total_cents", bucket=F.trunc("invoice_date", "month"))
+                         name="running_total_cents", bucket=F.trunc("invoice_date", "month"),
+                         refine=[F.col("invoice_date"), id_block("invoice_id")])
 
 
 def _daily_invoices(p) -> DataFrame:

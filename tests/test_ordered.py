@@ -73,3 +73,17 @@ def test_plan_has_no_single_key_window_on_data(spark, df):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the data-side window is partitioned by (key, bucket), never by the key alone
     assert "_tly_b" in plan
+
+
+def test_hot_bucket_refinement_equals_plain(spark, df):
+    d = df(_rows(400, 5), SCHEMA)
+    plain = _collect(prefix_aggregate(d, ["k"], ["t", "id"], AGGS, total="tot"))
+    # every bucket with more than 3 rows is split by (t, id block of 2)
+    refined = prefix_aggregate(d, ["k"], ["t", "id"], AGGS, total="tot",
+                               bucket=F.floor(F.col("t") / 1000),
+                               refine=[F.col("t"), F.floor(F.col("id") / 2)], hot_rows=3)
+    assert plain == _collect(refined)
+    # one coarse bucket for everything, all of it hot
+    refined1 = prefix_aggregate(d, ["k"], ["t", "id"], AGGS, total="tot", bucket=F.lit(0),
+                                refine=[F.col("t"), F.col("id")], hot_rows=0)
+    assert plain == _collect(refined1)
