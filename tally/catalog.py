@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tally.plans import bronze, cohorts, derived, gold, operator_runs as ops, silver, text
-from tally.session import checkpoint_dir
+from tally.session import materialize
 from tally.sources.fixtures import RawTables
 
 # Test clock and look-backs of the registered queries.
@@ -60,13 +60,10 @@ class Pipeline:
 
     @property
     def staging(self) -> DataFrame:
-        """Checkpointed (lineage cut in ``spark.checkpoint.dir``): the chain walk
-        and most downstream jobs read it more than once."""
-        def build() -> DataFrame:
-            checkpoint_dir(self.spark)
-            return bronze.subscription_staging(
-                self.event_log, self.raw["billing_transactions"], AS_OF_TS).checkpoint()
-        return self._get("staging", build)
+        """Written once under ``spark.checkpoint.dir`` and read back (lineage cut):
+        the chain walk and most downstream jobs read it more than once."""
+        return self._get("staging", lambda: materialize(bronze.subscription_staging(
+            self.event_log, self.raw["billing_transactions"], AS_OF_TS), "staging"))
 
     @property
     def plan_info(self) -> DataFrame:

@@ -89,19 +89,6 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
         return _plain(df, keys, order_c, aggs, total)
     key_cols = [F.col(k) for k in keys] or [F.lit(0).alias("_")]  # global: one key
     d = df.withColumn(_K, F.struct(*key_cols))
-    if refine:
-        d = d.withColumn("_tly_c", bucket)
-        hot = (d.groupBy(_K, "_tly_c").agg(F.count(F.lit(1)).alias("_tly_cn"))
-                .filter(F.col("_tly_cn") > hot_rows)
-                .orderBy(F.col("_tly_cn").desc(), _K, "_tly_c").limit(MAX_HOT_BUCKETS)
-                .select(_K, "_tly_c", F.lit(True).alias("_tly_hot")))
-        d = d.join(F.broadcast(hot), [_K, "_tly_c"], "left")
-        fine = F.when(F.col("_tly_hot"), F.struct(*[c.alias(f"r{i}") for i, c in
-                                                    enumerate(refine)]))
-        d = d.withColumn(_B, F.struct(F.col("_tly_c").alias("b"), fine.alias("f"))) \
-             .drop("_tly_c", "_tly_hot")
-    else:
-        d = d.withColumn(_B, F.struct(bucket.alias("b")))
     vals = {a.name: (F.col(a.value) if isinstance(a.value, str) else a.value) for a in aggs}
 
     part = [F.count(F.lit(1)).alias("_tly_n")]
@@ -114,7 +101,30 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
             part.append(F.max_by(vals[a.name], F.struct(*order_c)).alias(f"_tly_p_{a.name}"))
         elif a.fn == "lead":
             part.append(F.min_by(vals[a.name], F.struct(*order_c)).alias(f"_tly_p_{a.name}"))
-    stats = d.groupBy(_K, _B).agg(*part)
+    part_cols = [f"_tly_p_{a.name}" for a in aggs if a.fn in ("sum", "max", "lag", "lead")]
+
+    if refine:
+        # one coarse aggregation gives both the hot list and the stats of the
+        # cold buckets; fine stats are computed over the rows of hot buckets only
+        d = d.withColumn("_tly_c", bucket)
+        coarse = d.groupBy(_K, "_tly_c").agg(*part)
+        hot = F.broadcast(coarse.filter(F.col("_tly_n") > hot_rows)
+                          .orderBy(F.col("_tly_n").desc(), _K, "_tly_c").limit(MAX_HOT_BUCKETS)
+                          .select(_K, "_tly_c", F.lit(True).alias("_tly_hot")))
+        d = d.join(hot, [_K, "_tly_c"], "left")
+        fine_key = F.when(F.col("_tly_hot"), F.struct(*[c.alias(f"r{i}") for i, c in
+                                                        enumerate(refine)]))
+        d = d.withColumn(_B, F.struct(F.col("_tly_c").alias("b"), fine_key.alias("f")))
+        fine_type = d.schema[_B].dataType["f"].dataType
+        fine = d.filter(F.col("_tly_hot")).groupBy(_K, _B).agg(*part)
+        cold = coarse.join(hot, [_K, "_tly_c"], "left_anti").select(
+            _K, F.struct(F.col("_tly_c").alias("b"), F.lit(None).cast(fine_type).alias("f"))
+            .alias(_B), "_tly_n", *part_cols)
+        stats = cold.unionByName(fine)
+        d = d.drop("_tly_c", "_tly_hot")
+    else:
+        d = d.withColumn(_B, F.struct(bucket.alias("b")))
+        stats = d.groupBy(_K, _B).agg(*part)
 
     wk = Window.partitionBy(_K).orderBy(_B)
     before = wk.rowsBetween(Window.unboundedPreceding, -1)

@@ -60,3 +60,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the frame once (an
+    eager reliable checkpoint computes it twice unless it is also cached), and
+    the readers get a columnar scan with pushdown.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tally-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
