@@ -1,4 +1,4 @@
-"""Cohort jobs (N4-N7). The reference names these jobs and describes them in
+"""Cohort jobs (N4-N7). The source system names these jobs and describes them in
 one line each; the definitions below are ours.
 
 * N4 ``merged_periods``: exact duplicates dropped, then per (user, plan) the

@@ -1,4 +1,4 @@
-"""Derived facts (N1-N3, N8-N13). The reference names these jobs (and for some
+"""Derived facts (N1-N3, N8-N13). The source system names these jobs (and for some
 gives a one-line description or a validation rule); the definitions are ours.
 """
 
