@@ -1,11 +1,22 @@
-"""Batch run of all jobs for one ``as_of`` date.
-
-Each job's output is written as a parquet table under ``out_dir`` and the
-downstream jobs read the written table, not the upstream plan: the lineage
-is cut at every layer, so a lost executor only recomputes the current job,
-and the event log is computed once for all its readers. ``out_dir`` must be a
-folder every executor can reach (a shared or object-store path); by default
-it is ``<spark.checkpoint.dir>/tables``.
+"""Daily batch run of all jobs for one ``as_of`` date.
+
+Storage follows the layers:
+
+* bronze (event log, subscription staging) is per run: written once under
+  the shared ``spark.checkpoint.dir`` and read back, so the lineage is cut
+  (a lost executor recomputes only the current job) and the event log is
+  computed once for all its readers;
+* dimension and per-user tables (plan info, periods, summaries, cohorts) are
+  fully replaced (R17);
+* windowed facts (daily activity, invoices, daily / weekly metrics) are
+  catalog tables partitioned by their date and updated with the idempotent
+  window replace (R16): the partitions of the look-back are rewritten,
+  history before it is kept, and a second run with the same input gives the
+  same tables.
+
+The delete bound of a windowed table is its job's look-back, never wider
+than the data the job reads (the event log's look-back bounds the activity
+window), so no history inside the deleted range is lost.
 """
 
 from __future__ import annotations
@@ -15,8 +26,10 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tally.functions.time import as_date
 from tally.plans import bronze, cohorts, derived, gold, quality, silver, text
-from tally.session import checkpoint_dir
+from tally.session import materialize
+from tally.sinks.tables import replace_table, replace_window_table
 
 # The validation rule set of the daily run.
 VALIDATION_RULES = {
@@ -30,78 +43,94 @@ VALIDATION_RULES = {
 }
 
 
-class Runner:
-    def __init__(self, spark: SparkSession, out_dir: str | None = None):
-        self.spark = spark
-        self.out_dir = (out_dir or f"{checkpoint_dir(spark)}/tables").rstrip("/")
-
-    def path(self, name: str) -> str:
-        return f"{self.out_dir}/{name}"
-
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
-
-
 def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.date,
-            as_of_ts: str | dt.datetime | None = None, out_dir: str | None = None, *,
-            bronze_lookback: int | None = 3, activity_lookback: int = 7,
-            dictionaries: Mapping[str, list] | None = None, validate: bool = True,
-            now: str | dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Run every job in dependency order; return the written tables.
+            as_of_ts: str | dt.datetime | None = None, database: str = "analytics", *,
+            bronze_lookback: int | None = 3, activity_lookback: int = 7, gold_lookback: int = 30,
+            billing_lookback: int = 30, dictionaries: Mapping[str, list] | None = None,
+            validate: bool = True, now: str | dt.datetime | None = None) -> dict[str, DataFrame]:
+    """Run every job in dependency order; return the tables (as read back).
 
     ``raw`` maps the raw table names (``user_events``, ``billing_transactions``,
     ``plans``, ``invoices``, ``order_periods``, ``text_*`` ...) to DataFrames.
     ``dictionaries`` maps a text source (``reviews`` ...) to its dictionary.
     """
-    r = Runner(spark, out_dir)
-    as_of_ts = as_of_ts or f"{as_of} 00:00:00"
+    d = as_date(as_of)
+    as_of_ts = as_of_ts or f"{d.isoformat()} 00:00:00"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     t: dict[str, DataFrame] = {}
 
-    def job(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        t[name] = r.write(name, build())
+    def staged(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        t[name] = materialize(build(), name)
         return t[name]
 
-    job("event_log", lambda: bronze.event_log(raw["user_events"], raw["system_events"],
-                                              raw["api_events"], as_of, bronze_lookback))
-    job("subscription_staging", lambda: bronze.subscription_staging(
+    def full(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        replace_table(build(), f"{database}.{name}")
+        t[name] = spark.table(f"{database}.{name}")
+        return t[name]
+
+    def windowed(name: str, date_col: str, lower: dt.date,
+                 build: Callable[[], DataFrame]) -> DataFrame:
+        replace_window_table(spark, f"{database}.{name}", build(), date_col, lower)
+        t[name] = spark.table(f"{database}.{name}")
+        return t[name]
+
+    # A window never reaches back further than the data its job reads
+    src_lo = d - dt.timedelta(days=bronze_lookback) if bronze_lookback is not None else None
+
+    def clip(lo: dt.date) -> dt.date:
+        return max(lo, src_lo) if src_lo else lo
+
+    activity_lo = clip(d - dt.timedelta(days=activity_lookback))
+    gold_lo = d - dt.timedelta(days=gold_lookback)
+    events_lo = clip(gold_lo)
+    week_lo = d - dt.timedelta(days=28)
+    week_lo -= dt.timedelta(days=week_lo.weekday())
+
+    staged("event_log", lambda: bronze.event_log(
+        raw["user_events"], raw["system_events"], raw["api_events"], d, bronze_lookback))
+    staged("subscription_staging", lambda: bronze.subscription_staging(
         t["event_log"], raw["billing_transactions"], as_of_ts))
-    job("plan_info", lambda: silver.plan_info(raw["plans"], raw["plan_features"],
-                                              raw["plan_pricing"]))
-    job("subscription_periods", lambda: silver.subscription_periods(
-        t["subscription_staging"], t["plan_info"], as_of, as_of_ts, plans=raw["plans"]))
-    job("user_activity", lambda: silver.user_activity(t["event_log"], as_of, activity_lookback))
-    job("active_users_weekly", lambda: silver.active_users_weekly(t["user_activity"], as_of))
-    job("payment_billing", lambda: silver.payment_billing(
-        raw["invoices"], raw["invoice_line_items"], raw["payment_methods"], as_of))
-    job("daily_event_counts", lambda: gold.daily_event_counts(t["event_log"], as_of))
-    job("daily_user_counts", lambda: gold.daily_user_counts(
-        t["user_activity"], t["subscription_periods"], as_of))
-    job("daily_revenue_counts", lambda: gold.daily_revenue_counts(
-        t["payment_billing"], t["subscription_periods"], as_of))
-    job("billing_events", lambda: derived.billing_events(
-        t["event_log"], raw["billing_transactions"], as_of))
-    job("subscription_events_enriched", lambda: derived.subscription_events_enriched(
+    full("plan_info", lambda: silver.plan_info(raw["plans"], raw["plan_features"],
+                                               raw["plan_pricing"]))
+    full("subscription_periods", lambda: silver.subscription_periods(
+        t["subscription_staging"], t["plan_info"], d, as_of_ts, plans=raw["plans"]))
+    windowed("user_activity", "activity_date", activity_lo, lambda: silver.user_activity(
+        t["event_log"], d, (d - activity_lo).days))
+    windowed("active_users_weekly", "week_start", week_lo, lambda: silver.active_users_weekly(
+        t["user_activity"], d))
+    windowed("payment_billing", "invoice_date", d - dt.timedelta(days=billing_lookback),
+             lambda: silver.payment_billing(raw["invoices"], raw["invoice_line_items"],
+                                            raw["payment_methods"], d, billing_lookback))
+    windowed("daily_event_counts", "metric_date", events_lo, lambda: gold.daily_event_counts(
+        t["event_log"], d, (d - events_lo).days))
+    windowed("daily_user_counts", "metric_date", gold_lo, lambda: gold.daily_user_counts(
+        t["user_activity"], t["subscription_periods"], d, gold_lookback))
+    windowed("daily_revenue_counts", "metric_date", gold_lo, lambda: gold.daily_revenue_counts(
+        t["payment_billing"], t["subscription_periods"], d, gold_lookback))
+    full("billing_events", lambda: derived.billing_events(
+        t["event_log"], raw["billing_transactions"], d))
+    full("subscription_events_enriched", lambda: derived.subscription_events_enriched(
         t["subscription_staging"], t["plan_info"], raw["plans"]))
-    job("period_calc", lambda: derived.period_calc(t["subscription_staging"]))
-    job("user_accounts", lambda: derived.user_accounts(t["event_log"],
-                                                       t["subscription_periods"]))
-    job("daily_signups", lambda: derived.daily_signups(t["subscription_staging"], as_of))
-    job("billing", lambda: derived.billing(t["payment_billing"]))
-    job("subscription_events", lambda: derived.subscription_events(t["subscription_staging"]))
-    job("payment_history", lambda: derived.payment_history(t["payment_billing"]))
-    job("subscription_summary", lambda: derived.subscription_summary(t["subscription_periods"]))
+    full("period_calc", lambda: derived.period_calc(t["subscription_staging"]))
+    full("user_accounts", lambda: derived.user_accounts(t["event_log"],
+                                                        t["subscription_periods"]))
+    windowed("daily_signups", "metric_date", events_lo, lambda: derived.daily_signups(
+        t["subscription_staging"], d, (d - events_lo).days))
+    full("billing", lambda: derived.billing(t["payment_billing"]))
+    full("subscription_events", lambda: derived.subscription_events(t["subscription_staging"]))
+    full("payment_history", lambda: derived.payment_history(t["payment_billing"]))
+    full("subscription_summary", lambda: derived.subscription_summary(t["subscription_periods"]))
     if "order_periods" in raw:
-        job("merged_periods", lambda: cohorts.merged_periods(raw["order_periods"]))
-        job("cohort_base", lambda: cohorts.cohort_base(raw["order_periods"]))
-        job("retention_matrix", lambda: cohorts.retention_matrix(raw["order_periods"],
-                                                                 t["cohort_base"]))
-        job("revenue_by_cohort", lambda: cohorts.revenue_by_cohort(raw["order_periods"],
-                                                                   t["cohort_base"]))
+        full("merged_periods", lambda: cohorts.merged_periods(raw["order_periods"]))
+        full("cohort_base", lambda: cohorts.cohort_base(raw["order_periods"]))
+        full("retention_matrix", lambda: cohorts.retention_matrix(raw["order_periods"],
+                                                                  t["cohort_base"]))
+        full("revenue_by_cohort", lambda: cohorts.revenue_by_cohort(raw["order_periods"],
+                                                                    t["cohort_base"]))
     for src, dictionary in (dictionaries or {}).items():
         if f"text_{src}" in raw:
-            job(f"{src}_categories", lambda src=src, d=dictionary: text.categorize_text(
-                raw[f"text_{src}"], d, text.CATEGORY_TYPES.get(src, src)))
+            full(f"{src}_categories", lambda src=src, dic=dictionary: text.categorize_text(
+                raw[f"text_{src}"], dic, text.CATEGORY_TYPES.get(src, src)))
     if validate:
         for table, rules in VALIDATION_RULES.items():
             quality.validate(t[table], table, rules, now or as_of_ts)
