@@ -39,5 +39,5 @@ def match_categories(terms: Column, dictionary: Sequence[tuple[str, Sequence[str
             for cat, kws in dictionary if len(kws) > 0]
     if not hits:
         return F.lit(default)
-    joined = F.array_join(F.array_compact(F.array(*hits)), ",")
+    joined = F.concat_ws(",", *hits)  # skips the NULLs of categories without a hit
     return F.when(joined == "", F.lit(default)).otherwise(joined)

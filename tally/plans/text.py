@@ -37,9 +37,10 @@ def categorize_text(df: DataFrame, dictionary: Sequence[tuple[str, Sequence[str]
                     spark: SparkSession | None = None,
                     inline_max: int = INLINE_MAX_CATEGORIES) -> DataFrame:
     terms = extract_terms(F.col(text_col), 2, tokenizer)
-    base = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("title"))
-              .filter(F.col("title").isNotNull())
-              .withColumn("_tly_terms", terms)
+    # explode of a one-element array pins the terms: the row filter below is
+    # not rewritten into a second tokenisation of the whole text
+    base = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("title"),
+                      F.explode(F.array(terms)).alias("_tly_terms"))
               .filter(F.size("_tly_terms") > 0))
     if len(dictionary) <= inline_max:
         out = base.select("id", "title", F.array_join("_tly_terms", ",").alias("nouns"),
@@ -68,7 +69,7 @@ def _categorize_by_join(base: DataFrame, dictionary: Sequence[tuple[str, Sequenc
 def term_table(df: DataFrame, id_col: str = "id", text_col: str = "title") -> DataFrame:
     """T1 as a table: ``(id, n_terms, terms)`` of the rows that have terms."""
     t = extract_terms(F.col(text_col))
-    return (df.select(F.col(id_col).alias("id"), t.alias("_tly_t"))
+    return (df.select(F.col(id_col).alias("id"), F.explode(F.array(t)).alias("_tly_t"))
               .filter(F.size("_tly_t") > 0)
               .select("id", F.size("_tly_t").cast("long").alias("n_terms"),
                       F.array_join("_tly_t", ",").alias("terms")))
@@ -78,6 +79,6 @@ def category_table(df: DataFrame, dictionary: Sequence[tuple[str, Sequence[str]]
                    id_col: str = "id", text_col: str = "title") -> DataFrame:
     """T3 as a table: ``(id, category)`` of the rows that have terms."""
     t = extract_terms(F.col(text_col))
-    return (df.select(F.col(id_col).alias("id"), t.alias("_tly_t"))
+    return (df.select(F.col(id_col).alias("id"), F.explode(F.array(t)).alias("_tly_t"))
               .filter(F.size("_tly_t") > 0)
               .select("id", match_categories(F.col("_tly_t"), dictionary).alias("category")))
