@@ -83,47 +83,54 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     ``refine`` (for buckets above ``hot_rows`` rows) must be non-decreasing
     along ``order`` among the rows of one bucket -- e.g. the order columns
     themselves with the last one cut into blocks.
+
+    The plan is built with a few ``select`` calls (each DataFrame call
+    re-analyses the plan on the driver).
     """
     order_c = _cols(order)
     if bucket is None:
         return _plain(df, keys, order_c, aggs, total)
+    out_cols = list(df.columns)
     key_cols = [F.col(k) for k in keys] or [F.lit(0).alias("_")]  # global: one key
-    d = df.withColumn(_K, F.struct(*key_cols))
     vals = {a.name: (F.col(a.value) if isinstance(a.value, str) else a.value) for a in aggs}
-
     part = [F.count(F.lit(1)).alias("_tly_n")]
     for a in aggs:
+        p = f"_tly_p_{a.name}"
         if a.fn == "sum":
-            part.append(F.sum(vals[a.name]).alias(f"_tly_p_{a.name}"))
+            part.append(F.sum(vals[a.name]).alias(p))
         elif a.fn == "max":
-            part.append(F.max(vals[a.name]).alias(f"_tly_p_{a.name}"))
+            part.append(F.max(vals[a.name]).alias(p))
         elif a.fn == "lag":
-            part.append(F.max_by(vals[a.name], F.struct(*order_c)).alias(f"_tly_p_{a.name}"))
+            part.append(F.max_by(vals[a.name], F.struct(*order_c)).alias(p))
         elif a.fn == "lead":
-            part.append(F.min_by(vals[a.name], F.struct(*order_c)).alias(f"_tly_p_{a.name}"))
-    part_cols = [f"_tly_p_{a.name}" for a in aggs if a.fn in ("sum", "max", "lag", "lead")]
+            part.append(F.min_by(vals[a.name], F.struct(*order_c)).alias(p))
+        elif a.fn != "count":
+            raise ValueError(f"unknown prefix function {a.fn!r}")
+    part_cols = [f"_tly_p_{a.name}" for a in aggs if a.fn != "count"]
 
     if refine:
         # one coarse aggregation gives both the hot list and the stats of the
         # cold buckets; fine stats are computed over the rows of hot buckets only
-        d = d.withColumn("_tly_c", bucket)
+        d = df.select("*", F.struct(*key_cols).alias(_K), bucket.alias("_tly_c"))
         coarse = d.groupBy(_K, "_tly_c").agg(*part)
         hot = F.broadcast(coarse.filter(F.col("_tly_n") > hot_rows)
                           .orderBy(F.col("_tly_n").desc(), _K, "_tly_c").limit(MAX_HOT_BUCKETS)
                           .select(_K, "_tly_c", F.lit(True).alias("_tly_hot")))
-        d = d.join(hot, [_K, "_tly_c"], "left")
-        fine_key = F.when(F.col("_tly_hot"), F.struct(*[c.alias(f"r{i}") for i, c in
-                                                        enumerate(refine)]))
-        d = d.withColumn(_B, F.struct(F.col("_tly_c").alias("b"), fine_key.alias("f")))
-        fine_type = d.schema[_B].dataType["f"].dataType
+        fine_key = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(refine)])
+        d = d.join(hot, [_K, "_tly_c"], "left").select(
+            *out_cols, _K, "_tly_hot",
+            F.struct(F.col("_tly_c").alias("b"),
+                     F.when(F.col("_tly_hot"), fine_key).alias("f")).alias(_B))
         fine = d.filter(F.col("_tly_hot")).groupBy(_K, _B).agg(*part)
+        # cold buckets: the same struct with an empty fine part (its type is
+        # taken from the fine stats, no extra analysis of the data plan)
         cold = coarse.join(hot, [_K, "_tly_c"], "left_anti").select(
-            _K, F.struct(F.col("_tly_c").alias("b"), F.lit(None).cast(fine_type).alias("f"))
+            _K, F.struct(F.col("_tly_c").alias("b"),
+                         F.lit(None).cast(fine.schema[_B].dataType["f"].dataType).alias("f"))
             .alias(_B), "_tly_n", *part_cols)
         stats = cold.unionByName(fine)
-        d = d.drop("_tly_c", "_tly_hot")
     else:
-        d = d.withColumn(_B, F.struct(bucket.alias("b")))
+        d = df.select("*", F.struct(*key_cols).alias(_K), F.struct(bucket.alias("b")).alias(_B))
         stats = d.groupBy(_K, _B).agg(*part)
 
     wk = Window.partitionBy(_K).orderBy(_B)
@@ -133,47 +140,37 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     if total:
         offs.append(F.sum("_tly_n").over(Window.partitionBy(_K)).alias("_tly_tot"))
     for a in aggs:
+        p, o = f"_tly_p_{a.name}", f"_tly_o_{a.name}"
         if a.fn == "sum":
-            offs.append(F.sum(f"_tly_p_{a.name}").over(before).alias(f"_tly_o_{a.name}"))
+            offs.append(F.sum(p).over(before).alias(o))
         elif a.fn == "max":
-            offs.append(F.max(f"_tly_p_{a.name}").over(before).alias(f"_tly_o_{a.name}"))
+            offs.append(F.max(p).over(before).alias(o))
         elif a.fn == "lag":
-            offs.append(F.lag(f"_tly_p_{a.name}").over(wk).alias(f"_tly_o_{a.name}"))
+            offs.append(F.lag(p).over(wk).alias(o))
         elif a.fn == "lead":
-            offs.append(F.lead(f"_tly_p_{a.name}").over(wk).alias(f"_tly_o_{a.name}"))
+            offs.append(F.lead(p).over(wk).alias(o))
     stats = stats.select(*offs)
 
-    j = d.join(stats, [_K, _B], "inner")
     wb = Window.partitionBy(_K, _B).orderBy(*order_c)
-    out = j
-    if any(a.fn in ("lag", "lead") for a in aggs):
-        out = out.withColumn("_tly_rn", F.row_number().over(wb))
+    rn = F.row_number().over(wb)
+    new_cols = []
     for a in aggs:
         frame = wb.rowsBetween(Window.unboundedPreceding, 0 if a.inclusive else -1)
+        o = F.col(f"_tly_o_{a.name}")
         if a.fn == "count":
-            local = F.row_number().over(wb) - (0 if a.inclusive else 1)
-            out = out.withColumn(a.name, F.col("_tly_off") + local)
+            c = (F.col("_tly_off") + rn - (0 if a.inclusive else 1)).cast("long")
         elif a.fn == "sum":
-            out = out.withColumn(a.name, null_add(F.sum(vals[a.name]).over(frame),
-                                                  F.col(f"_tly_o_{a.name}")))
+            c = null_add(F.sum(vals[a.name]).over(frame), o)
         elif a.fn == "max":
-            out = out.withColumn(a.name, F.greatest(F.max(vals[a.name]).over(frame),
-                                                    F.col(f"_tly_o_{a.name}")))
+            c = F.greatest(F.max(vals[a.name]).over(frame), o)
         elif a.fn == "lag":
-            out = out.withColumn(a.name, F.when(F.col("_tly_rn") == 1, F.col(f"_tly_o_{a.name}"))
-                                 .otherwise(F.lag(vals[a.name]).over(wb)))
-        elif a.fn == "lead":
-            out = out.withColumn(a.name, F.when(F.col("_tly_rn") == F.col("_tly_n"),
-                                                F.col(f"_tly_o_{a.name}"))
-                                 .otherwise(F.lead(vals[a.name]).over(wb)))
-        else:
-            raise ValueError(f"unknown prefix function {a.fn!r}")
-        if a.fn == "count":
-            out = out.withColumn(a.name, F.col(a.name).cast("long"))
+            c = F.when(rn == 1, o).otherwise(F.lag(vals[a.name]).over(wb))
+        else:  # lead
+            c = F.when(rn == F.col("_tly_n"), o).otherwise(F.lead(vals[a.name]).over(wb))
+        new_cols.append(c.alias(a.name))
     if total:
-        out = out.withColumn(total, F.col("_tly_tot"))
-    return out.drop(_K, _B, "_tly_n", "_tly_off", "_tly_tot", "_tly_rn",
-                    *[f"_tly_o_{a.name}" for a in aggs])
+        new_cols.append(F.col("_tly_tot").alias(total))
+    return d.join(stats, [_K, _B], "inner").select(*out_cols, *new_cols)
 
 
 def _plain(df: DataFrame, keys: Sequence[str], order_c: list[Column],
@@ -216,11 +213,10 @@ def sequence_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     tot = count or "_tly_count"
     out = prefix_aggregate(df, keys, order, [Prefix(idx, "count"), *extra], bucket=bucket,
                            total=tot, refine=refine, hot_rows=hot_rows)
+    cols = [c for c in out.columns if c != tot or count]
     if idx_inverse:
-        out = out.withColumn(idx_inverse, F.col(tot) - F.col(idx) + 1)
-    if not count:
-        out = out.drop(tot)
-    return out
+        cols.append((F.col(tot) - F.col(idx) + 1).alias(idx_inverse))
+    return out.select(*cols)
 
 
 def running_total(df: DataFrame, value: str | Column, order: Sequence[str | Column],

@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def flag_columns(col: str, flags: Mapping[str, str]) -> list[Column]:
+    """Aggregates of R4, to combine with others in one ``groupBy``."""
+    return [F.max(F.when(F.col(col) == F.lit(v), F.lit(1)).otherwise(F.lit(0))).alias(name)
+            for v, name in flags.items()]
+
+
+def max_columns(col: str, measure: str, values: Mapping[str, str]) -> list[Column]:
+    """Aggregates of R5, to combine with others in one ``groupBy``."""
+    return [F.max(F.when(F.col(col) == F.lit(v), F.col(measure))).alias(name)
+            for v, name in values.items()]
+
+
 def pivot_flags(df: DataFrame, key: str | Sequence[str], col: str,
                 flags: Mapping[str, str]) -> DataFrame:
     """One 0/1 int column per value: ``MAX(CASE WHEN col = v THEN 1 ELSE 0 END)``."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*[
-        F.max(F.when(F.col(col) == F.lit(v), F.lit(1)).otherwise(F.lit(0))).alias(name)
-        for v, name in flags.items()])
+    return df.groupBy(*keys).agg(*flag_columns(col, flags))
 
 
 def pivot_max(df: DataFrame, key: str | Sequence[str], col: str, measure: str,
@@ -25,6 +35,4 @@ def pivot_max(df: DataFrame, key: str | Sequence[str], col: str, measure: str,
     values listed (no extra job to discover them), renamed by ``values``.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*[
-        F.max(F.when(F.col(col) == F.lit(v), F.col(measure))).alias(name)
-        for v, name in values.items()])
+    return df.groupBy(*keys).agg(*max_columns(col, measure, values))

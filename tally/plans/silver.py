@@ -14,7 +14,7 @@ from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
 from tally.operators.chain import walk_chain
 from tally.operators.joins import bounded_broadcast
-from tally.operators.pivot import pivot_flags, pivot_max
+from tally.operators.pivot import max_columns, pivot_flags
 
 # Plan feature flags, price intervals and plan defaults.
 FEATURE_FLAGS = {"sso": "has_sso", "api_access": "has_api_access",
@@ -61,11 +61,9 @@ def plan_info(plans: DataFrame, plan_features: DataFrame, plan_pricing: DataFram
         F.coalesce("max_seats", F.lit(PLAN_DEFAULTS["max_seats"])).alias("max_seats"),
         "created_at", "updated_at")
     flags = pivot_flags(plan_features, "plan_id", "feature_key", FEATURE_FLAGS)
-    current = plan_pricing.filter(F.col("effective_end").isNull())
-    prices = pivot_max(current, "plan_id", "billing_interval", "price_cents", PRICE_INTERVALS) \
-        .join(current.groupBy("plan_id").agg(F.max("currency").alias("currency"),
-                                             F.max("trial_days").alias("trial_days")),
-              "plan_id")
+    prices = plan_pricing.filter(F.col("effective_end").isNull()).groupBy("plan_id").agg(
+        *max_columns("billing_interval", "price_cents", PRICE_INTERVALS),
+        F.max("currency").alias("currency"), F.max("trial_days").alias("trial_days"))
     out = base.join(flags, "plan_id", "left").join(prices, "plan_id", "left")
     return out.select(
         "plan_id", "plan_name", "plan_tier", "is_active", "max_seats",
@@ -94,10 +92,12 @@ def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str
                        anchor=F.col("period_start") >= ts_lit(lo), max_depth=max_periods)
     dim = bounded_broadcast(plan_info_df.select("plan_id", "plan_name", "plan_tier",
                                                 "trial_days"), bound_by=plans)
-    cur = dim.alias("pi")
-    prev = dim.select(F.col("plan_id").alias("prev_plan_id"),
-                      F.col("plan_tier").alias("prev_plan_tier"))
-    j = chain.join(cur, "plan_id", "left").join(prev, "prev_plan_id", "left")
+    # the same dimension frame twice: one broadcast, reused for both roles
+    c, pi, pp = chain.alias("c"), dim.alias("pi"), dim.alias("pp")
+    j = (c.join(pi, F.col("c.plan_id") == F.col("pi.plan_id"), "left")
+          .join(pp, F.col("c.prev_plan_id") == F.col("pp.plan_id"), "left")
+          .select("c.*", "pi.plan_name", "pi.plan_tier", "pi.trial_days",
+                  F.col("pp.plan_tier").alias("prev_plan_tier")))
     days = F.datediff(F.to_date("period_end"), F.to_date("period_start"))
     mrr = (F.when(F.col("plan_tier") == "free", F.lit(0).cast("long"))
            .when(F.col("currency") == "USD", F.col("amount_cents"))

@@ -18,6 +18,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # call-site capture for error messages costs several JVM round trips per
+    # column function while the plans are built; off for batch jobs
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
