@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tally.operators.replace import replace_window
 from tally.plans import cohorts, quality, text
