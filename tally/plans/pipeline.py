@@ -59,8 +59,8 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     t: dict[str, DataFrame] = {}
 
-    def staged(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        t[name] = materialize(build(), name)
+    def staged(name: str, build: Callable[[], DataFrame], sort_by: list[str]) -> DataFrame:
+        t[name] = materialize(build(), name, sort_by)
         return t[name]
 
     def full(name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -87,9 +87,10 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     week_lo -= dt.timedelta(days=week_lo.weekday())
 
     staged("event_log", lambda: bronze.event_log(
-        raw["user_events"], raw["system_events"], raw["api_events"], d, bronze_lookback))
+        raw["user_events"], raw["system_events"], raw["api_events"], d, bronze_lookback),
+        ["event_date", "event_ts", "event_source"])
     staged("subscription_staging", lambda: bronze.subscription_staging(
-        t["event_log"], raw["billing_transactions"], as_of_ts))
+        t["event_log"], raw["billing_transactions"], as_of_ts), ["user_id", "period_start"])
     full("plan_info", lambda: silver.plan_info(raw["plans"], raw["plan_features"],
                                                raw["plan_pricing"]))
     full("subscription_periods", lambda: silver.subscription_periods(
