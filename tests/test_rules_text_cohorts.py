@@ -196,3 +196,17 @@ def test_event_log_lookback_reaches_scan(spark):
     plan = p.indexed_event_log._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan or "DataFilters" in plan
     assert "unix_timestamp" in plan
+
+
+def test_tokenizer_hook_pandas_udf(df):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("array<string>")
+    def words(s: pd.Series) -> pd.Series:
+        return s.str.lower().str.split()
+
+    d = df([(1, "From here"), (2, "x y")], "id long, title string")
+    out = {r["id"]: r for r in text.categorize_text(d, DICT, "t", tokenizer=words).collect()}
+    assert set(out) == {1}                                  # one-letter tokens filtered out
+    assert (out[1]["nouns"], out[1]["category"]) == ("from,here", "motion")
