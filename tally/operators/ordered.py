@@ -93,6 +93,7 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     out_cols = list(df.columns)
     key_cols = [F.col(k) for k in keys] or [F.lit(0).alias("_")]  # global: one key
     vals = {a.name: (F.col(a.value) if isinstance(a.value, str) else a.value) for a in aggs}
+    lead_col = order[0] if isinstance(order[0], str) else None
     part = [F.count(F.lit(1)).alias("_tly_n")]
     for a in aggs:
         p = f"_tly_p_{a.name}"
@@ -100,6 +101,10 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
             part.append(F.sum(vals[a.name]).alias(p))
         elif a.fn == "max":
             part.append(F.max(vals[a.name]).alias(p))
+        elif a.fn in ("lag", "lead") and isinstance(a.value, str) and a.value == lead_col:
+            # the leading order column itself: the last / first row of a bucket
+            # holds its max / min (hash-aggregatable, unlike an ordering struct)
+            part.append((F.max if a.fn == "lag" else F.min)(vals[a.name]).alias(p))
         elif a.fn == "lag":
             part.append(F.max_by(vals[a.name], F.struct(*order_c)).alias(p))
         elif a.fn == "lead":

@@ -20,6 +20,7 @@ def _rows(n=400, seed=7):
 
 SCHEMA = "id long, k long, t long, v long"
 AGGS = [Prefix("rn", "count"), Prefix("before", "count", inclusive=False),
+        Prefix("prev_t", "lag", "t"), Prefix("next_t", "lead", "t"),
         Prefix("s", "sum", "v"), Prefix("s_ex", "sum", "v", inclusive=False),
         Prefix("m", "max", "v"), Prefix("m_ex", "max", "v", inclusive=False),
         Prefix("prev_v", "lag", "v"), Prefix("next_v", "lead", "v")]
@@ -27,7 +28,8 @@ AGGS = [Prefix("rn", "count"), Prefix("before", "count", inclusive=False),
 
 def _collect(df):
     return sorted(tuple(r) for r in df.select(
-        "id", "rn", "before", "s", "s_ex", "m", "m_ex", "prev_v", "next_v", "tot").collect())
+        "id", "rn", "before", "s", "s_ex", "m", "m_ex", "prev_v", "next_v", "prev_t", "next_t",
+        "tot").collect())
 
 
 def test_bucketed_equals_plain(spark, df):
