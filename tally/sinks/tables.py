@@ -50,6 +50,15 @@ def replace_window_table(spark: SparkSession, name: str, new: DataFrame, date_co
     if not spark.catalog.tableExists(name):
         new.write.partitionBy(date_col).saveAsTable(name)
         return
+    # write first (dynamic overwrite of the partitions present in ``new``), then
+    # drop the window's partitions that got no new rows: a failure in between
+    # leaves old rows, never a gap, and a rerun repairs either way (idempotent)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        new.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     present = {r[0] for r in new.select(date_col).distinct().collect()}
     for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
         value = row[0].split("=", 1)[1]
@@ -59,9 +68,3 @@ def replace_window_table(spark: SparkSession, name: str, new: DataFrame, date_co
         if day >= lo and day not in present:
             spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION "
                       f"({date_col} = DATE'{day.isoformat()}')")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        new.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
