@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tally.plans import bronze, cohorts, derived, gold, operator_runs as ops, silver, text
-from tally.session import materialize
+from tally.session import materialize, utc_session
 from tally.sources.fixtures import RawTables
 
 # Test clock and look-backs of the registered queries.
@@ -29,11 +29,27 @@ TEST_DICTIONARY = [("motion", ["from", "with"]), ("quality", ["tion", "thon"]),
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_RAW: dict[tuple[SparkSession, str], RawTables] = {}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """The raw view definitions of one session and folder, parsed once.
+
+    Only the (lazy) view plans are shared between queries; every query
+    still reads and computes everything from the parquet files.
+    """
+    key = (spark, sf_dir.rstrip("/"))
+    if key not in _RAW:
+        _RAW[key] = RawTables(spark, sf_dir)
+    utc_session(spark)  # the jobs convert epochs in UTC; re-pin on every query
+    return _RAW[key]
+
+
 class Pipeline:
     """Lazily composed jobs over one set of raw tables (one plan per frame)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.raw = RawTables(spark, sf_dir)
+        self.raw = raw_tables(spark, sf_dir)
         self.spark = self.raw.spark
         self.as_of = AS_OF
         self.as_of_ts = AS_OF_TS
