@@ -20,5 +20,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS,
     to a shuffle join (AQE may still pick a broadcast from runtime sizes).
     """
     probe = bound_by if bound_by is not None else df
-    n = probe.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    # a frame over files is a snapshot of its listed files: the proven count is
+    # remembered on the probe frame (the raw views are shared within a session)
+    known = getattr(probe, "_tly_row_bound", None)
+    if known is None or known[0] != max_rows:
+        known = (max_rows, probe.limit(max_rows + 1).count() <= max_rows)
+        probe._tly_row_bound = known
+    return F.broadcast(df) if known[1] else df

@@ -129,7 +129,8 @@ def dod_lead(p) -> DataFrame:
 
 
 def tier_users(p) -> DataFrame:
-    plans = bounded_broadcast(p.raw["plans"].select("plan_id", "plan_tier"))
+    plans = bounded_broadcast(p.raw["plans"].select("plan_id", "plan_tier"),
+                              bound_by=p.raw["plans"])
     per = p.raw["order_periods"].join(plans, "plan_id", "left").withColumn(
         "metric_month", F.trunc("period_start", "month"))
     return count_distinct_by(per, ["metric_month"], "user_id", "plan_tier",

@@ -200,7 +200,8 @@ def payment_billing(invoices: DataFrame, line_items: DataFrame, payment_methods:
         lo = as_timestamp(None, as_date(as_of) - dt.timedelta(days=lookback_days))
         inv = inv.filter(F.col("invoice_date") >= ts_lit(lo))
         items = items.join(inv.select("invoice_id"), "invoice_id", "left_semi")
-    methods = bounded_broadcast(payment_methods.select("payment_method_id", "method_type"))
+    methods = bounded_broadcast(payment_methods.select("payment_method_id", "method_type"),
+                                bound_by=payment_methods)
     info = inv.join(methods, "payment_method_id", "left")
     j = info.join(invoice_summary(items), "invoice_id", "inner")
     tax = F.coalesce(F.col("tax_cents"), F.lit(0).cast("long"))
