@@ -30,3 +30,12 @@ def test_periods_chain_and_plans(spark):
     plan = catalog.QUERIES["daily_revenue_counts"](spark, SF)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "NestedLoopJoin" not in plan
+
+
+def test_no_python_in_any_registered_plan(spark):
+    import __spark_entry__ as entry
+    for name, q in entry.queries().items():
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                     "FlatMapGroupsInPandas"):
+            assert node not in plan, (name, node)
