@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tally.llm import mixing, packing, privacy, quality
+from tally.llm import mixing, near_dedup, packing, privacy, quality
 from tally.llm.stage import documents, staged
 
 
+def op1_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
+
+
 def op2_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = staged(privacy.scan(documents(spark, sf_dir)), "pii")
     return privacy.digest(privacy.spans(scanned, privacy.train(scanned)))
@@ -29,5 +33,5 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_weak_supervision_pii, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
+QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
 ORACLE: dict[str, str] = {}
