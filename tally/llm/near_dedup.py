@@ -80,10 +80,13 @@ def min_samples(vals: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     short = (vals >> U(32)).astype(np.uint32)
     lo = 0
     while lo < n_sets:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + 200_000, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + 50_000, "right")) - 1)
         part, cuts = short[offsets[lo]:offsets[hi]], offsets[lo:hi] - offsets[lo]
+        work = np.empty_like(part)
         for j in range(SAMPLES):
-            out[lo:hi, j] = np.minimum.reduceat(part * _MUL[j] + _ADD[j], cuts)
+            np.multiply(part, _MUL[j], out=work)
+            np.add(work, _ADD[j], out=work)
+            out[lo:hi, j] = np.minimum.reduceat(work, cuts)
         lo = hi
     return out
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tally.llm import mixing, near_dedup, packing, privacy, quality
+from tally.llm import context_mixing, mixing, near_dedup, packing, privacy, quality
 from tally.llm.stage import documents, staged
 
 
@@ -17,6 +17,10 @@ def op2_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.digest(privacy.spans(scanned, privacy.train(scanned)))
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(documents(spark, sf_dir))
+
+
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return quality.judge(docs, carry=["doc_id"])
@@ -33,5 +37,5 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
+QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op6_context_mixing, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
 ORACLE: dict[str, str] = {}

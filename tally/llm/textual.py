@@ -81,17 +81,19 @@ def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     hashes whatever their place, task or executor.
     """
     out = np.empty(len(start), np.uint64)
-    step = 1 << 20
+    step = 1 << 16  # the working arrays stay in cache
+    pw, inv = powers(BASE, step + 1), powers(BASE_INV, step + 1)
     lo = 0
     while lo < len(start):
         base = int(start[lo])
         hi = max(lo + 1, int(np.searchsorted(end, base + step, "right")))
         part = raw[base:int(end[hi - 1])]
-        pw = powers(BASE, len(part) + 1)
-        acc = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(BYTE_CODE[part] * pw[:-1], out=acc[1:])
+        n = len(part)
+        if n >= len(pw):
+            pw, inv = powers(BASE, n + 1), powers(BASE_INV, n + 1)
+        acc = np.zeros(n + 1, np.uint64)
+        np.cumsum(BYTE_CODE[part] * pw[:n], out=acc[1:])
         s, e = start[lo:hi] - base, end[lo:hi] - base
-        inv = powers(BASE_INV, len(part) + 1)
         out[lo:hi] = mix((acc[e] - acc[s]) * inv[s] + (e - s).astype(np.uint64) * U(0xD6E8FEB86659FD93))
         lo = hi
     return out
