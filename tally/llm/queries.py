@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tally.llm import context_mixing, html_text, mixing, near_dedup, packing, privacy, quality, toxicity
+from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, toxicity
 from tally.llm.stage import documents, staged
 
 
@@ -22,6 +22,10 @@ def op3_boosted_dom_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages, html_text.train(pages))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 def op5_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -46,5 +50,5 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op3_boosted_dom_text, op5_ftrl_toxicity, op6_context_mixing, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
+QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op3_boosted_dom_text, op4_nn_descent, op5_ftrl_toxicity, op6_context_mixing, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
 ORACLE: dict[str, str] = {}

@@ -30,8 +30,8 @@ from tally.llm.textual import LOWER, U, mix, span_hashes, utf8_buffer, word_span
 #: Parameters: training rows, hash space, FTRL rates and penalties, passes.
 SAMPLE_ROWS = 20_000
 BITS = 22
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.5, 0.1
-PASSES = 2
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
+PASSES = 3
 THRESHOLD = 0.3
 
 _OUTER = np.zeros(256, bool)
