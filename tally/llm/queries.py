@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, toxicity
+from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, repeats, toxicity
 from tally.llm.stage import documents, staged
 
 
@@ -39,6 +39,10 @@ def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, carry=["doc_id"])
 
 
+def op8_suffix_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(documents(spark, sf_dir), 400)
+
+
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken",
@@ -50,5 +54,6 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op3_boosted_dom_text, op4_nn_descent, op5_ftrl_toxicity, op6_context_mixing, op7_distribution_divergence, op9_curriculum_mix, op10_minimum_bin_slack)}
+QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op3_boosted_dom_text, op4_nn_descent, op5_ftrl_toxicity, op6_context_mixing, op7_distribution_divergence,
+                                     op8_suffix_run_dedup, op9_curriculum_mix, op10_minimum_bin_slack)}
 ORACLE: dict[str, str] = {}
