@@ -15,9 +15,9 @@ which emits only a spanning forest of the confirmed links. So no bucket is
 turned into pairs of rows, and a task's memory is bounded, whatever the size
 of a group. Links that a forest leaves out join documents already joined.
 
-A pair at the threshold is missed by all bands with a probability below 1e-6
-(bands of 6, 32 of them: (1 - 0.85 ** 6) ** 32), and by the sketch bound below
-1e-8.
+A band takes as many samples as leave a pair at the threshold a chance below
+MISS to share no band (6 at 0.85: (1 - 0.85 ** 6) ** 32; 5 at 0.8), and the
+sketch bound is wrong for it with a chance below 1e-8.
 
 Edge cases. Null, empty and word-free texts have an empty set and link with
 nothing. Fewer words than a shingle: the whole sequence is the one shingle.
@@ -39,16 +39,21 @@ from tally.llm.graph import components
 from tally.llm.stage import staged
 from tally.llm.textual import LOWER, U, binary_column, mix, shingle_hashes, utf8_buffer, word_hashes
 
-#: Parameters: band layout, sketch bits, most differing samples of a link, block size.
-BANDS, ROWS = 32, 6
+#: Parameters: MinHash samples, chance to miss a pair, sketch bits, block size.
+SAMPLES = 192
+MISS = 1e-6
 SKETCH_BITS = 1024
 BLOCK_BYTES = 4_000_000
 
-SAMPLES = BANDS * ROWS
 _rng = np.random.default_rng(85)
 _MUL = _rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
-_BAND_MUL = _rng.integers(0, 1 << 63, ROWS, dtype=np.uint64) * U(2) + U(1)
+_BAND_MUL = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * U(2) + U(1)
+
+
+def band_rows(similarity: float) -> int:
+    """Samples in a band: the most that miss a pair at the threshold with a chance below MISS."""
+    return max([r for r in range(1, 13) if (1 - similarity**r) ** (SAMPLES // r) < MISS], default=1)
 
 
 def most_differing(similarity: float) -> int:
@@ -99,8 +104,10 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8).reshape(len(samples), SKETCH_BITS), axis=1)
 
 
-def signatures(docs: DataFrame, width: int) -> DataFrame:
+def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row: doc_id, n_shingles, class_key, bands (bucket keys, none for an empty set)."""
+    size = band_rows(percent / 100)
+    n_bands = SAMPLES // size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,11 +115,11 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             n = np.diff(offsets)
             full = np.flatnonzero(n > 0)
             cuts = np.concatenate([offsets[:-1][full], offsets[-1:]])
-            keys = np.zeros((0, BANDS), np.uint64)
+            keys = np.zeros((0, n_bands), np.uint64)
             if len(full):
-                keys = mix((min_samples(vals, cuts).reshape(len(full), BANDS, ROWS).astype(np.uint64) * _BAND_MUL).sum(2)
-                           + np.arange(BANDS, dtype=np.uint64))
-            bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)),
+                samples = min_samples(vals, cuts)[:, :n_bands * size].reshape(len(full), n_bands, size)
+                keys = mix((samples.astype(np.uint64) * _BAND_MUL[:size]).sum(2) + np.arange(n_bands, dtype=np.uint64))
+            bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((n > 0) * n_bands)]).astype(np.int32)),
                                              pa.array(keys.ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(n.astype(np.int64)),
                                               pa.array(set_keys(vals, offsets)), bands], names=["doc_id", "n_shingles", "class_key", "bands"])
@@ -233,7 +240,7 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, block_byte
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    sigs = staged(signatures(docs, width), "signatures")
+    sigs = staged(signatures(docs, width, percent), "signatures")
     found = staged(links(docs, sigs, width, percent), "links")
     roots = components(found)
     rows = sigs.select("doc_id", "n_shingles", "class_key").join(roots, F.col("class_key") == F.col("node"), "left")
