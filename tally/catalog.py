@@ -90,7 +90,7 @@ class Pipeline:
     @property
     def periods(self) -> DataFrame:
         return self._get("periods", lambda: silver.subscription_periods(
-            self.staging, self.plan_info, AS_OF, AS_OF_TS, 90, 50, plans=self.raw["plans"]))
+            self.staging, self.plan_info, AS_OF, AS_OF_TS, 90, None, plans=self.raw["plans"]))
 
     @property
     def activity(self) -> DataFrame:

@@ -30,14 +30,22 @@ def match_categories(terms: Column, dictionary: Sequence[tuple[str, Sequence[str
                      default: str = UNCATEGORIZED) -> Column:
     """Comma-joined categories (dictionary order) whose keywords meet ``terms``.
 
-    Exact term equality; ``default`` when nothing matches. Suited to
-    dictionaries of up to a few hundred categories: one ``arrays_overlap`` per
-    category, all inside one projection (no shuffle, no UDF). Larger
-    dictionaries go through the keyword join in ``tally.plans.text``.
+    Equal terms match, whatever the case of the keyword; ``default`` when
+    nothing matches. One form for dictionaries of any size, inside one
+    projection (no shuffle, no UDF): terms that are keywords (a hash set) are
+    looked up in a map from keyword to category numbers.
     """
-    hits = [F.when(F.arrays_overlap(terms, F.array(*[F.lit(k) for k in kws])), F.lit(cat))
-            for cat, kws in dictionary if len(kws) > 0]
-    if not hits:
+    numbers: dict[str, list[int]] = {}
+    for i, (_, kws) in enumerate(dictionary):
+        for k in kws:
+            own = numbers.setdefault(k.lower(), [])
+            if i not in own:
+                own.append(i)
+    if not numbers:
         return F.lit(default)
-    joined = F.concat_ws(",", *hits)  # skips the NULLs of categories without a hit
-    return F.when(joined == "", F.lit(default)).otherwise(joined)
+    by_word = F.create_map(*[c for k, v in numbers.items() for c in (F.lit(k), F.array(*map(F.lit, v)))])
+    names = F.array(*[F.lit(cat) for cat, _ in dictionary])
+    found = F.transform(F.filter(terms, lambda t: t.isin(list(numbers))), lambda t: by_word[t])
+    hits = F.array_sort(F.array_distinct(F.flatten(found)))
+    joined = F.array_join(F.transform(hits, lambda i: F.get(names, i)), ",")
+    return F.when(F.coalesce(F.size(hits) == 0, F.lit(True)), F.lit(default)).otherwise(joined)

@@ -1,14 +1,14 @@
-"""Bounded chain walk without recursion.
+"""Chain walk without recursion.
 
 A recursive walk starts at the first row of a key and repeatedly joins the
-row whose ``start`` equals the current ``end``, at most ``max_depth`` steps.
-When ``end`` of each row is the next row's ``start`` (rows built with LEAD,
-as the subscription staging is), the chain is the sequence itself: step k is
-the row with ``seq = k``. So the walk is a filter on ``seq <= max_depth``, a
-semi-join to keys whose first row passes the anchor test, and a stop at the
-first row whose ``start`` does not equal the previous ``end``. After the
-``seq`` filter a key has at most ``max_depth`` rows, so the window for the
-link check is bounded.
+row whose ``start`` equals the current ``end``. When ``end`` of each row is the
+next row's ``start`` (rows built with LEAD, as the subscription staging is),
+the chain is the sequence itself: step k is the row with ``seq = k``. So the
+walk is a semi-join to keys whose first row passes the anchor test and a stop
+at the first row whose ``start`` is not the previous ``end``. There is no
+longest chain; ``max_depth`` cuts chains only where a caller asks for it. The
+previous ``end`` comes from the bucketed LAG, so a key with very many rows is
+never one task.
 
 With tied start times a recursive walk fans out (a zero-length period joins
 itself); this form keeps each row once.
@@ -16,22 +16,30 @@ itself); this form keeps each row once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tally.operators.ordered import Prefix, prefix_aggregate
+
+
+SEQ_BUCKET_ROWS = 1000
+
 
 def walk_chain(df: DataFrame, key: str, seq: str, start: str, end: str, *,
-               anchor: Column | None = None, max_depth: int = 50,
+               anchor: Column | None = None, max_depth: int | None = None,
                out_seq: str = "period_seq") -> DataFrame:
     """Rows reached by the walk, with the step number in ``out_seq``."""
     first = df.filter(F.col(seq) == 1)
     if anchor is not None:
         first = first.filter(anchor)
-    capped = df.filter(F.col(seq) <= max_depth).join(first.select(key), key, "left_semi")
-    w = Window.partitionBy(key).orderBy(seq)
-    broken = F.when(F.col(seq) == 1, F.lit(0)).when(
-        F.lag(end).over(w) == F.col(start), F.lit(0)).otherwise(F.lit(1))
-    linked = capped.withColumn("_tly_brk", broken).withColumn(
-        "_tly_brk", F.max("_tly_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return (linked.filter(F.col("_tly_brk") == 0).drop("_tly_brk")
+    rows = df if max_depth is None else df.filter(F.col(seq) <= max_depth)
+    rows = rows.join(first.select(key), key, "left_semi")
+    linked = prefix_aggregate(rows, [key], [seq], [Prefix("_tly_prev", "lag", end)],
+                              bucket=F.floor(F.col(seq) / SEQ_BUCKET_ROWS))
+    broken = (F.col(seq) > 1) & ~F.coalesce(F.col("_tly_prev") == F.col(start), F.lit(False))
+    stops = linked.filter(broken).groupBy(F.col(key).alias("_tly_key")).agg(
+        F.min(seq).alias("_tly_stop"))
+    return (linked.join(stops, F.col(key) == F.col("_tly_key"), "left")
+            .filter(F.col("_tly_stop").isNull() | (F.col(seq) < F.col("_tly_stop")))
+            .drop("_tly_prev", "_tly_key", "_tly_stop")
             .withColumn(out_seq, F.col(seq).cast("long")))

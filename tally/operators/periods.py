@@ -29,7 +29,8 @@ def explode_days(df: DataFrame, start: str | Column, end: str | Column,
     s = F.to_date(F.col(start) if isinstance(start, str) else start)
     e = F.to_date(F.col(end) if isinstance(end, str) else end)
     lo_c, hi_c = date_lit(as_date(lo)), date_lit(as_date(hi))
-    return (df.filter((s <= hi_c) & (e >= lo_c))
+    # a period that ends before it starts covers no day
+    return (df.filter((s <= e) & (s <= hi_c) & (e >= lo_c))
               .withColumn(col, F.explode(F.sequence(F.greatest(s, lo_c), F.least(e, hi_c)))))
 
 

@@ -63,9 +63,11 @@ def retention_matrix(periods: DataFrame, cohorts: DataFrame) -> DataFrame:
     row per (user, month) after ``distinct`` (map-side), then joined to the
     user's cohort. Rate rounded to 4 places.
     """
-    months = periods.select(
+    # a reversed period touches no month; one without an end touches its first
+    ended = F.coalesce("period_end", "period_start")
+    months = periods.filter(F.col("period_start") <= ended).select(
         "user_id", F.explode(F.sequence(F.trunc("period_start", "month"),
-                                        F.trunc("period_end", "month"),
+                                        F.trunc(ended, "month"),
                                         F.expr("INTERVAL 1 MONTH"))).alias("activity_month")
     ).distinct()
     coh = cohorts.select("user_id", "cohort_month")

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.time import as_date, date_lit
-from tally.operators.joins import bounded_broadcast
 from tally.operators.ordered import Prefix, id_block, prefix_aggregate
 from tally.operators.periods import date_spine
 
@@ -34,9 +33,9 @@ def billing_events(event_log_df: DataFrame, billing_transactions: DataFrame,
 def subscription_events_enriched(staging: DataFrame, plan_info_df: DataFrame,
                                  plans: DataFrame | None = None) -> DataFrame:
     """Staging rows with the plan's metadata (left join, plan may be unknown)."""
-    dim = bounded_broadcast(plan_info_df.select(
+    dim = plan_info_df.select(
         "plan_id", "plan_name", "plan_tier", F.col("is_active").alias("plan_is_active"),
-        "monthly_price_cents", "annual_price_cents", "trial_days"), bound_by=plans)
+        "monthly_price_cents", "annual_price_cents", "trial_days")
     return staging.join(dim, "plan_id", "left").select(
         "user_id", "event_seq", "plan_id", "prev_plan_id", "transition_type", "period_start",
         "period_end", "amount_cents", "currency", "plan_name", "plan_tier", "plan_is_active",

@@ -48,8 +48,12 @@ def change_pct(df: DataFrame, col: str, order: str, direction: str = "lag", *,
 
 
 def daily_event_counts(event_log_df: DataFrame, as_of: str | dt.date,
-                       lookback_days: int = 30) -> DataFrame:
-    """Per day totals by source, distinct users (> 0), previous day, change %."""
+                       lookback_days: int = 30, stored: DataFrame | None = None) -> DataFrame:
+    """Per day totals by source, distinct users (> 0), previous day, change %.
+
+    ``stored`` (rows of this job's own table) gives the first day its previous
+    day, if that lies before the look-back.
+    """
     lo = as_date(as_of) - dt.timedelta(days=lookback_days)
     daily = (event_log_df.filter(F.col("event_date") >= date_lit(lo))
              .groupBy(F.col("event_date").alias("metric_date"))
@@ -59,9 +63,12 @@ def daily_event_counts(event_log_df: DataFrame, as_of: str | dt.date,
                   F.count_if(F.col("event_source") == "api").alias("api_events"),
                   F.countDistinct(F.when(F.col("user_id") > 0, F.col("user_id")))
                   .alias("unique_users")))
+    if stored is not None:
+        before = stored.filter(F.col("metric_date") < date_lit(lo)).select(*daily.columns)
+        daily = daily.unionByName(before)
     out = change_pct(daily, "total_events", "metric_date", "lag",
                      other="prev_day_total_events")
-    return out.select(*DAILY_EVENT_COLUMNS)
+    return out.filter(F.col("metric_date") >= date_lit(lo)).select(*DAILY_EVENT_COLUMNS)
 
 
 DAILY_USER_COLUMNS = ["metric_date", "new_users", "returning_users", "total_active_users",

@@ -16,7 +16,6 @@ from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
 from tally.operators.chain import walk_chain
 from tally.operators.counting import count_distinct_by
-from tally.operators.joins import bounded_broadcast
 from tally.operators.ordered import id_block, running_total, sequence_index
 from tally.operators.periods import explode_days, join_containing, merge_metrics
 from tally.operators.pivot import pivot_flags, pivot_max
@@ -68,7 +67,7 @@ def price_pivot(p) -> DataFrame:
 def chain_walk(p) -> DataFrame:
     lo = as_timestamp(None, dt.date.fromisoformat(p.as_of) - dt.timedelta(days=90))
     c = walk_chain(p.staging, "user_id", "event_seq", "period_start", "period_end",
-                   anchor=F.col("period_start") >= ts_lit(lo), max_depth=50)
+                   anchor=F.col("period_start") >= ts_lit(lo))
     return c.select("user_id", "period_seq", "plan_id", "period_start", "period_end")
 
 
@@ -129,8 +128,7 @@ def dod_lead(p) -> DataFrame:
 
 
 def tier_users(p) -> DataFrame:
-    plans = bounded_broadcast(p.raw["plans"].select("plan_id", "plan_tier"),
-                              bound_by=p.raw["plans"])
+    plans = p.raw["plans"].select("plan_id", "plan_tier")
     per = p.raw["order_periods"].join(plans, "plan_id", "left").withColumn(
         "metric_month", F.trunc("period_start", "month"))
     return count_distinct_by(per, ["metric_month"], "user_id", "plan_tier",

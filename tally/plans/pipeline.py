@@ -25,6 +25,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tally.functions.time import as_date
 from tally.plans import bronze, cohorts, derived, gold, quality, silver, text
@@ -89,8 +90,17 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     staged("event_log", lambda: bronze.event_log(
         raw["user_events"], raw["system_events"], raw["api_events"], d, bronze_lookback),
         ["event_date", "event_ts", "event_source"])
+    # subscription events and billed events are kept for good, day by day: sequences, periods
+    # and the month's billing need more than one run's look-back, and are a small part of all events
+    kept_lo = src_lo or dt.date.min
+    kept = ["user_id", "event_id", "event_ts", "event_type", "event_source", "event_date"]
+    windowed("subscription_event_log", "event_date", kept_lo, lambda: t["event_log"].filter(
+        F.col("event_type").isin(*bronze.SUBSCRIPTION_EVENT_TYPES)).select(*kept))
+    windowed("billed_event_log", "event_date", kept_lo, lambda: t["event_log"].join(
+        raw["billing_transactions"].withColumnRenamed("reference_event_id", "event_id"),
+        ["user_id", "event_id"], "left_semi").select(*kept))
     staged("subscription_staging", lambda: bronze.subscription_staging(
-        t["event_log"], raw["billing_transactions"], as_of_ts), ["user_id", "period_start"])
+        t["subscription_event_log"], raw["billing_transactions"], as_of_ts), ["user_id", "period_start"])
     full("plan_info", lambda: silver.plan_info(raw["plans"], raw["plan_features"],
                                                raw["plan_pricing"]))
     full("subscription_periods", lambda: silver.subscription_periods(
@@ -102,14 +112,16 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     windowed("payment_billing", "invoice_date", d - dt.timedelta(days=billing_lookback),
              lambda: silver.payment_billing(raw["invoices"], raw["invoice_line_items"],
                                             raw["payment_methods"], d, billing_lookback))
+    counts = f"{database}.daily_event_counts"
+    stored = spark.table(counts) if spark.catalog.tableExists(counts) else None
     windowed("daily_event_counts", "metric_date", events_lo, lambda: gold.daily_event_counts(
-        t["event_log"], d, (d - events_lo).days))
+        t["event_log"], d, (d - events_lo).days, stored))
     windowed("daily_user_counts", "metric_date", gold_lo, lambda: gold.daily_user_counts(
         t["user_activity"], t["subscription_periods"], d, gold_lookback))
     windowed("daily_revenue_counts", "metric_date", gold_lo, lambda: gold.daily_revenue_counts(
         t["payment_billing"], t["subscription_periods"], d, gold_lookback))
     full("billing_events", lambda: derived.billing_events(
-        t["event_log"], raw["billing_transactions"], d))
+        t["billed_event_log"], raw["billing_transactions"], d))
     full("subscription_events_enriched", lambda: derived.subscription_events_enriched(
         t["subscription_staging"], t["plan_info"], raw["plans"]))
     full("period_calc", lambda: derived.period_calc(t["subscription_staging"]))

@@ -5,15 +5,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.numeric import round_half
 from tally.functions.time import as_date, as_timestamp, date_lit, ts_lit
 from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
-from tally.operators.chain import walk_chain
-from tally.operators.joins import bounded_broadcast
+from tally.operators.chain import SEQ_BUCKET_ROWS, walk_chain
+from tally.operators.ordered import Prefix, prefix_aggregate
 from tally.operators.pivot import max_columns, pivot_flags
 
 # Plan feature flags, price intervals and plan defaults.
@@ -76,9 +76,9 @@ def plan_info(plans: DataFrame, plan_features: DataFrame, plan_pricing: DataFram
 
 def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str | dt.date,
                          as_of_ts: str | dt.datetime | None = None, lookback_days: int = 90,
-                         max_periods: int = 50, plans: DataFrame | None = None) -> DataFrame:
+                         max_periods: int | None = None, plans: DataFrame | None = None) -> DataFrame:
     """The period chain of users whose first subscription event lies in the
-    look-back, at most ``max_periods`` periods, with plan, previous tier, MRR,
+    look-back (all its periods, or ``max_periods``), with plan, previous tier, MRR,
     trial and active flags and running revenue.
 
     ``is_active``: not a churn, and the period is still open (or ends after
@@ -90,8 +90,8 @@ def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str
     lo = as_timestamp(None, as_date(as_of) - dt.timedelta(days=lookback_days))
     chain = walk_chain(staging, "user_id", "event_seq", "period_start", "period_end",
                        anchor=F.col("period_start") >= ts_lit(lo), max_depth=max_periods)
-    dim = bounded_broadcast(plan_info_df.select("plan_id", "plan_name", "plan_tier",
-                                                "trial_days"), bound_by=plans)
+    dim = plan_info_df.select("plan_id", "plan_name", "plan_tier",
+                                                "trial_days")
     # the same dimension frame twice: one broadcast, reused for both roles
     c, pi, pp = chain.alias("c"), dim.alias("pi"), dim.alias("pp")
     j = (c.join(pi, F.col("c.plan_id") == F.col("pi.plan_id"), "left")
@@ -110,11 +110,10 @@ def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str
                         "period_start", "period_end", days.alias("period_days"),
                         "transition_type", "prev_plan_tier", mrr.alias("mrr_cents"),
                         trial.alias("is_trial"), F.coalesce(active, F.lit(False)).alias("is_active"))
-    # at most max_periods rows per user: a plain window is bounded
-    w = Window.partitionBy("user_id").orderBy("period_seq").rowsBetween(
-        Window.unboundedPreceding, 0)
-    return enriched.withColumn("cumulative_revenue_cents",
-                               F.sum("mrr_cents").over(w)).select(*PERIOD_COLUMNS)
+    # bucketed running sum: a user may have any number of periods
+    return prefix_aggregate(enriched, ["user_id"], ["period_seq"],
+                            [Prefix("cumulative_revenue_cents", "sum", "mrr_cents")],
+                            bucket=F.floor(F.col("period_seq") / SEQ_BUCKET_ROWS)).select(*PERIOD_COLUMNS)
 
 
 def user_activity(event_log_df: DataFrame, as_of: str | dt.date, lookback_days: int = 7,
@@ -200,8 +199,7 @@ def payment_billing(invoices: DataFrame, line_items: DataFrame, payment_methods:
         lo = as_timestamp(None, as_date(as_of) - dt.timedelta(days=lookback_days))
         inv = inv.filter(F.col("invoice_date") >= ts_lit(lo))
         items = items.join(inv.select("invoice_id"), "invoice_id", "left_semi")
-    methods = bounded_broadcast(payment_methods.select("payment_method_id", "method_type"),
-                                bound_by=payment_methods)
+    methods = payment_methods.select("payment_method_id", "method_type")
     info = inv.join(methods, "payment_method_id", "left")
     j = info.join(invoice_summary(items), "invoice_id", "inner")
     tax = F.coalesce(F.col("tax_cents"), F.lit(0).cast("long"))

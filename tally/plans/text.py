@@ -5,25 +5,19 @@ with repeats), the categories whose keyword list contains any term (in
 dictionary order, comma-joined) or ``uncategorized``. Rows without terms
 (NULL, empty, digits only) are dropped. Whole texts are processed.
 
-Two physical forms, same result:
-* up to ``INLINE_MAX_CATEGORIES`` categories: one ``arrays_overlap`` per
-  category inside a single projection -- map-only, no shuffle, no UDF;
-* larger dictionaries: the distinct terms of each row are joined to the
-  exploded (keyword, category) table (broadcast when its size is bounded),
-  matched categories are aggregated per row and joined back.
+One physical form for dictionaries of any size: a projection with a keyword
+lookup per term, no shuffle and no UDF, so equal or NULL ids never meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.functions.text import UNCATEGORIZED, extract_terms, match_categories
-from tally.operators.joins import bounded_broadcast
+from tally.functions.text import extract_terms, match_categories
 
-INLINE_MAX_CATEGORIES = 500
 TEXT_COLUMNS = ["id", "title", "nouns", "category", "category_type"]
 
 # Category types of the four text sources.
@@ -33,39 +27,18 @@ CATEGORY_TYPES = {"reviews": "product_review", "tickets": "support_ticket",
 
 def categorize_text(df: DataFrame, dictionary: Sequence[tuple[str, Sequence[str]]],
                     category_type: str, id_col: str = "id", text_col: str = "title",
-                    tokenizer: Callable[[Column], Column] | None = None,
-                    spark: SparkSession | None = None,
-                    inline_max: int = INLINE_MAX_CATEGORIES) -> DataFrame:
+                    tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
     terms = extract_terms(F.col(text_col), 2, tokenizer)
     # explode of a one-element array pins the terms: the row filter below is
     # not rewritten into a second tokenisation of the whole text
     base = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("title"),
                       F.explode(F.array(terms)).alias("_tly_terms"))
               .filter(F.size("_tly_terms") > 0))
-    if len(dictionary) <= inline_max:
-        out = base.select("id", "title", F.array_join("_tly_terms", ",").alias("nouns"),
-                          match_categories(F.col("_tly_terms"), dictionary).alias("category"))
-    else:
-        out = _categorize_by_join(base, dictionary, spark or df.sparkSession)
+    out = base.select("id", "title", F.array_join("_tly_terms", ",").alias("nouns"),
+                      match_categories(F.col("_tly_terms"), dictionary).alias("category"))
     return out.withColumn("category_type", F.lit(category_type)).select(*TEXT_COLUMNS)
 
 
-def _categorize_by_join(base: DataFrame, dictionary: Sequence[tuple[str, Sequence[str]]],
-                        spark: SparkSession) -> DataFrame:
-    kw = spark.createDataFrame(
-        [(i, cat, k) for i, (cat, kws) in enumerate(dictionary) for k in dict.fromkeys(kws)],
-        "ord int, category string, keyword string")
-    terms = base.select("id", F.explode(F.array_distinct("_tly_terms")).alias("keyword"))
-    hits = (terms.join(bounded_broadcast(kw), "keyword")
-                 .groupBy("id")
-                 .agg(F.array_sort(F.collect_set(F.struct("ord", "category"))).alias("_tly_c")))
-    cats = hits.select("id", F.array_join(F.transform("_tly_c", lambda s: s["category"]), ",")
-                       .alias("category"))
-    return (base.join(cats, "id", "left")
-                .select("id", "title", F.array_join("_tly_terms", ",").alias("nouns"),
-                        F.coalesce("category", F.lit(UNCATEGORIZED)).alias("category")))
-
-
 def term_table(df: DataFrame, id_col: str = "id", text_col: str = "title") -> DataFrame:
     """T1 as a table: ``(id, n_terms, terms)`` of the rows that have terms."""
     t = extract_terms(F.col(text_col))

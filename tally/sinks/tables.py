@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +47,11 @@ def replace_window_table(spark: SparkSession, name: str, new: DataFrame, date_co
     are metadata (one entry per day), not rows.
     """
     lo = as_date(lower)
-    new = new.filter(F.col(date_col) >= date_lit(lo))
+    # computed once for the write and for the list of its days
+    new = new.filter(F.col(date_col) >= date_lit(lo)).persist(StorageLevel.DISK_ONLY_2)
     if not spark.catalog.tableExists(name):
         new.write.partitionBy(date_col).saveAsTable(name)
+        new.unpersist()
         return
     # write first (dynamic overwrite of the partitions present in ``new``), then
     # drop the window's partitions that got no new rows: a failure in between
@@ -60,6 +63,7 @@ def replace_window_table(spark: SparkSession, name: str, new: DataFrame, date_co
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     present = {r[0] for r in new.select(date_col).distinct().collect()}
+    new.unpersist()
     for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
         value = row[0].split("=", 1)[1]
         if value == "__HIVE_DEFAULT_PARTITION__":

@@ -26,7 +26,9 @@ def read_dictionaries(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         f = spark.read.text(p, wholetext=True).select(F.lit(i).alias("file_no"), "value")
         files = f if files is None else files.unionByName(f)
     entries = files.select("file_no", F.posexplode(
-        F.map_entries(F.from_json("value", DICTIONARY_SCHEMA))).alias("pos", "entry"))
+        F.map_entries(F.coalesce(
+            F.from_json("value", DICTIONARY_SCHEMA, {"mode": "FAILFAST"}),
+            F.raise_error(F.lit("a dictionary file holds no JSON object"))))).alias("pos", "entry"))
     merged = entries.groupBy(F.col("entry.key").alias("category")).agg(
         F.max_by(F.col("entry.value"), F.col("file_no")).alias("keywords"),
         F.min(F.struct("file_no", "pos")).alias("first"))

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 def load_sheet_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
     present = {c.strip(): c for c in raw.columns}
     cols = []
     for f in st.fields:

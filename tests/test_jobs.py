@@ -96,7 +96,7 @@ def test_plan_info_defaults(df):
     assert rows[4]["monthly_price_cents"] == 0                # expired price only
 
 
-def test_subscription_periods_cap_anchor_trial(df):
+def test_subscription_periods_anchor_trial(df):
     e_recent = EPOCH_0131 - 20 * 86400
     e_old = EPOCH_0131 - 91 * 86400
     events = [(1000 + i, 1, "subscription_created" if i == 0 else "subscription_renewed",
@@ -115,7 +115,7 @@ def test_subscription_periods_cap_anchor_trial(df):
     by_user = {}
     for r in per:
         by_user.setdefault(r["user_id"], []).append(r)
-    assert len(by_user[1]) == 50                              # cap
+    assert len(by_user[1]) == 60                              # every period
     assert 2 not in by_user                                   # first event 91 days old
     u3 = by_user[3][0]                                        # free plan, trial at limit
     assert u3["mrr_cents"] == 0 and u3["period_days"] == 14 and u3["is_trial"]
@@ -124,7 +124,7 @@ def test_subscription_periods_cap_anchor_trial(df):
     assert u4["plan_name"] is None and u4["mrr_cents"] == 300 and not u4["is_trial"]
     assert by_user[5][0]["mrr_cents"] == 250                  # EUR: placeholder rate 1
     last = max(by_user[1], key=lambda r: r["period_seq"])
-    assert last["cumulative_revenue_cents"] == 5000 and last["period_seq"] == 50
+    assert last["cumulative_revenue_cents"] == 6000 and last["period_seq"] == 60
 
 
 def test_subscription_periods_tied_times_no_fanout(df):

@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tally import catalog
 from tests.oracle_check import compare, duck_connect
 
 SF = os.environ.get("TALLY_TEST_SF", "/root/testdata/sf0.01")
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.QUERIES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

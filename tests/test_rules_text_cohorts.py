@@ -10,6 +10,7 @@ from tally.plans import cohorts, quality, text
 from tally.sinks.tables import replace_window_table, write_table
 from tally.sources.dictionaries import load_dictionaries
 from tally.sources.sheets import load_sheet_csv
+from tally.operators.periods import explode_days
 
 T = dt.datetime
 D = dt.date
@@ -89,12 +90,31 @@ def test_categorize_edges(df):
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "Exchange" not in plan
 
 
-def test_categorize_join_form_equals_inline(spark, df):
-    d = df([(i, t) for i, t in enumerate(["from ther", "tion", "none", "with from tion"])],
-           "id long, title string")
-    a = text.categorize_text(d, DICT, "x").orderBy("id").collect()
-    b = text.categorize_text(d, DICT, "x", inline_max=0, spark=spark).orderBy("id").collect()
-    assert a == b
+def test_large_dictionary_equal_and_null_ids(df):
+    many = [(f"c{i}", [f"word{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100]}"]) for i in range(700)]
+    d = df([(1, "from here"), (1, "ther there"), (None, "FROM x")], "id long, title string")
+    rows = text.categorize_text(d, many + [("motion", ["From"]), ("people", ["ther"])], "x").collect()
+    assert {(r["id"], r["title"], r["category"]) for r in rows} == {
+        (1, "from here", "motion"), (1, "ther there", "people"), (None, "FROM x", "motion")}
+
+
+def test_broken_dictionary_fails(spark, tmp_path):
+    p = tmp_path / "cut.json"
+    p.write_text('{"a": ["x"')
+    with pytest.raises(Exception):
+        load_dictionaries(spark, [str(p)])
+
+
+def test_sheet_quotes_and_line_breaks(spark, tmp_path):
+    p = tmp_path / "s.csv"
+    p.write_text('plan_id,plan_name\n1,"The ""Pro"" plan"\n2,"two\nlines"\n')
+    rows = {r["plan_id"]: r["plan_name"] for r in load_sheet_csv(spark, str(p), "plan_id long, plan_name string").collect()}
+    assert rows == {1: 'The "Pro" plan', 2: "two\nlines"}
+
+
+def test_reversed_periods(df):
+    per = df([(1, dt.date(2024, 1, 10), dt.date(2024, 1, 5))], "k int, s date, e date")
+    assert explode_days(per, "s", "e", "2024-01-01", "2024-01-31").count() == 0
 
 
 def test_dictionary_merge(spark, tmp_path):
