@@ -35,11 +35,11 @@ K = 24
 MAX_REVERSE = 24
 BLOCK_ROWS = 1_000
 PROJECTIONS = 3
-ROUNDS = 3
+ROUNDS = 6
 #: Beam, nodes opened a round, search rounds.
-BEAM = 128
+BEAM = 192
 OPEN = 32
-HOPS = 5
+HOPS = 8
 
 
 def usable(embeddings: DataFrame, ident: str, vector: str) -> DataFrame:
