@@ -32,31 +32,40 @@ SAMPLE_ROWS = 20_000
 BITS = 22
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
 PASSES = 3
+#: Bytes of text worked on at once.
+SLICE_BYTES = 1 << 22
 THRESHOLD = 0.3
 
-_OUTER = np.zeros(256, bool)
-_OUTER[list(b".,;:!?'\"()[]{}*#$%&|<>-_")] = True
+# lower case, with punctuation as word separators
+_PLAIN = LOWER.copy()
+_PLAIN[list(b".,;:!?'\"()[]{}*#$%&|<>-_")] = 32
 
 
-def text_features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature slots of each text, as (slots, offsets)."""
+def grams(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, texts, slots, their texts) for slices of whole texts of about SLICE_BYTES;
+    a slot comes once per occurrence."""
     raw, offsets = utf8_buffer(col)
-    raw = LOWER[raw]
-    plain = raw.copy()
-    plain[_OUTER[raw]] = 32  # punctuation separates words here
-    start, end, first = word_spans(plain, offsets)
-    words = span_hashes(plain, start, end)
-    n = len(words)
-    text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    parts, owners = [words], [text_of]
-    for gap, salt in ((1, 0x51ED), (2, 0xA24B)):
-        if n > gap:
-            same = text_of[gap:] == text_of[:-gap]
-            parts.append(mix(words[:-gap][same] * U(3) + words[gap:][same] + U(salt)))
-            owners.append(text_of[:-gap][same])
-    slot = (np.concatenate(parts) >> U(64 - BITS)).astype(np.int64)
-    both = np.unique((np.concatenate(owners).astype(np.int64) << BITS) | slot)
-    return both & ((1 << BITS) - 1), np.searchsorted(both >> BITS, np.arange(len(first)))
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, "right")) - 1)
+        plain = _PLAIN[raw[offsets[lo]:offsets[hi]]]
+        start, end, first = word_spans(plain, offsets[lo:hi + 1] - offsets[lo])
+        words = span_hashes(plain, start, end)
+        text_of = np.repeat(np.arange(hi - lo), np.diff(first))
+        parts, owners = [words], [text_of]
+        for gap, salt in ((1, 0x51ED), (2, 0xA24B)):
+            if len(words) > gap:
+                same = text_of[gap:] == text_of[:-gap]
+                parts.append(mix(words[:-gap][same] * U(3) + words[gap:][same] + U(salt)))
+                owners.append(text_of[:-gap][same])
+        yield lo, hi - lo, (np.concatenate(parts) >> U(64 - BITS)).astype(np.int64), np.concatenate(owners)
+        lo = hi
+
+
+def distinct(slots: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (text, slot) pairs, by text: (slots, texts)."""
+    both = np.unique((owners << BITS) | slots)
+    return both & ((1 << BITS) - 1), both >> BITS
 
 
 class Ftrl:
@@ -80,13 +89,25 @@ class Ftrl:
 
 
 def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, weights) of the non-zero coordinates, learnt from (text, label, order) in one task."""
+    """(slots, weights) of the non-zero coordinates, learnt from (text, label, order).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Features are made where the texts lie; the sample's rows then meet in one task, which learns in order.
+    """
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, n, slots, owners in grams(batch.column("text")):
+                slots, owners = distinct(slots, owners)
+                cuts = pa.array(np.searchsorted(owners, np.arange(n + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(cuts, pa.array(slots.astype(np.int32))),
+                                                  batch.column("label").slice(lo, n), batch.column("order").slice(lo, n)], names=["slots", "label", "order"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, np.ndarray, int]] = []
         for batch in batches:
-            slot, offsets = text_features(batch.column("text"))
-            rows += [(o, slot[a:b].astype(np.int32), y) for o, y, a, b in zip(batch.column("order").to_pylist(), batch.column("label").to_pylist(), offsets[:-1], offsets[1:])]
+            col = batch.column("slots")
+            slots, offsets = col.values.to_numpy(), col.offsets.to_numpy()
+            rows += [(o, slots[a:b].copy(), y) for o, y, a, b in zip(batch.column("order").to_pylist(), batch.column("label").to_pylist(), offsets[:-1], offsets[1:])]
         rows.sort(key=lambda r: (r[0], len(r[1]), r[2]))
         model = Ftrl()
         for _ in range(PASSES):
@@ -97,7 +118,8 @@ def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         keep = w != 0
         yield pa.RecordBatch.from_arrays([pa.array(used[keep]), pa.array(w[keep])], names=["slot", "weight"])
 
-    got = texts.select("text", "label", "order").coalesce(1).mapInArrow(run, "slot long, weight double").toPandas()
+    made = texts.select("text", "label", "order").mapInArrow(features, "slots array<int>, label int, order long")
+    got = made.repartition(1).mapInArrow(learn, "slot long, weight double").toPandas()
     got = got.sort_values("slot")
     return got["slot"].to_numpy(np.int64), got["weight"].to_numpy(float)
 
@@ -115,26 +137,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, rows: in
 
 
 def score(docs: DataFrame, slots: np.ndarray, weights: np.ndarray) -> DataFrame:
-    """One row per text: doc_id, score in [0, 1], n_features, n_weighted."""
+    """One row per text: doc_id, score in [0, 1], n_weighted (its distinct features with a weight)."""
     model = docs.sparkSession.sparkContext.broadcast((slots, weights))  # 2 ** BITS entries at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, weights = model.value
         dense = np.zeros((1 << BITS) + 1)
         dense[slots] = weights
+        known = dense != 0
         for batch in batches:
-            slot, offsets = text_features(batch.column("text"))
-            total = np.concatenate([[0], np.cumsum(dense[slot])])
-            hits = np.concatenate([[0], np.cumsum(dense[slot] != 0)])
-            logit = np.clip(total[offsets[1:]] - total[offsets[:-1]] + dense[-1], -700, 700)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(1 / (1 + np.exp(-logit))), pa.array(np.diff(offsets).astype(np.int64)),
-                                              pa.array((hits[offsets[1:]] - hits[offsets[:-1]]).astype(np.int64))], names=["doc_id", "score", "n_features", "n_weighted"])
+            total, hits = np.full(batch.num_rows, dense[-1]), np.zeros(batch.num_rows, np.int64)
+            for lo, n, slot, owner in grams(batch.column("text")):
+                # features without a weight add nothing, so only the others are made distinct
+                hit = np.flatnonzero(known[slot])
+                slot, owner = distinct(slot[hit], owner[hit])
+                total[lo:lo + n] += np.bincount(owner, dense[slot], n)
+                hits[lo:lo + n] = np.bincount(owner, minlength=n)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(total, -700, 700)))), pa.array(hits)],
+                                             names=["doc_id", "score", "n_weighted"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, n_features long, n_weighted long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, n_weighted long")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_features, n_weighted."""
+    """doc_id, held_out, score, predicted, n_weighted."""
     slots, weights = fit(training_rows(docs, labels, fold(F.col("doc_id"), 4)))
     scored = score(docs, slots, weights)
-    return scored.select("doc_id", fold(F.col("doc_id"), 4).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_features", "n_weighted")
+    return scored.select("doc_id", fold(F.col("doc_id"), 4).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_weighted")
