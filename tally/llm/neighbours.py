@@ -37,9 +37,9 @@ BLOCK_ROWS = 1_000
 PROJECTIONS = 3
 ROUNDS = 6
 #: Beam, nodes opened a round, search rounds.
-BEAM = 192
-OPEN = 32
-HOPS = 8
+BEAM = 384
+OPEN = 64
+HOPS = 7
 
 
 def usable(embeddings: DataFrame, ident: str, vector: str) -> DataFrame:
