@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, repeats, toxicity
+from tally.llm import context_mixing, graph, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, repeats, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, size string"
 WORDS = "the of and amber river stone quiet lantern harbor willow copper meadow thunder velvet garden silver".split()
@@ -92,6 +92,13 @@ def test_near_duplicates_match_brute_force(docs, empty, rows):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_components_of_a_long_chain(spark):
+    nodes = [int(x) for x in np.random.default_rng(2).permutation(4000)[:400]]
+    edges = spark.createDataFrame(list(zip(nodes[:300], nodes[1:300])) + list(zip(nodes[300:], nodes[301:])), "a long, b long")
+    got = {r.node: r.root for r in graph.components(edges).collect()}
+    assert got == {x: min(part) for part in (nodes[:300], nodes[300:]) for x in part}
+
+
 def test_sketch_bound_and_bands():
     for percent in (80, 85):
         r = near_dedup.band_rows(percent / 100)
