@@ -214,6 +214,28 @@ def test_context_mixing_counts_and_probability(docs, empty, rows):
     assert context_mixing.score(empty).count() == 0
 
 
+def test_context_mixing_reads_words_in_order(spark):
+    rng = random.Random(8)
+    phrases = [[rng.choice(WORDS) + rng.choice(["", "a", "el", "ion"]) for _ in range(6)] for _ in range(20)]
+    text = lambda: [w for _ in range(15) for w in rng.choice(phrases)]
+    whole = [text() for _ in range(120)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(whole)] + [(1000 + i, " ".join(rng.sample(t, len(t)))) for i, t in enumerate(whole[:20])]
+    held = (F.col("doc_id") < 20) | (F.col("doc_id") >= 1000)
+    got = {r.doc_id: r for r in context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string"), held).collect()}
+    assert len(got) == 140
+    for i in range(20):
+        assert got[i].base_score == pytest.approx(got[1000 + i].base_score)
+        assert got[i].score > got[1000 + i].score + 50
+
+
+def test_span_keys():
+    at, starts = np.array([1, 2, 1, 2, 0, 1, 2, 0]), np.array([0, 5])
+    distinct, pair, triple = context_mixing.span_keys(at, starts, np.array([0, 11, 12], np.uint64))
+    assert pair[0] == pair[5] and pair[1] == pair[3] == pair[6] and pair[4] == pair[7] and len(set(pair)) == 4
+    assert triple[0] == triple[5] and triple[1] == triple[6] != triple[3] and triple[4] == triple[7] and len(set(triple)) == 5
+    assert (context_mixing._unpack_sorted(context_mixing._pack_sorted(distinct)) == distinct).all() and len(distinct) == 9
+
+
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_repeats_match_brute_force(docs, empty, rows, hot, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_CLASS", hot)
