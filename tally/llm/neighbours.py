@@ -5,9 +5,12 @@ neighbours. The first graph comes from a few random projections: nodes are
 range-partitioned by a projection and compared within blocks of a fixed size.
 NN-descent then joins each node's neighbours (both ways) with one another;
 a pair is passed on only if it beats the worst neighbour of one of its nodes,
-and each node keeps its K best. Queries walk the graph: each round the best
+and each node keeps its K best, until hardly an edge changes in a round.
+Queries walk the graph: each round the best
 nodes of the beam not yet opened are opened by a join with the graph, their
-neighbours scored by a join with the vectors, and the beam keeps the best.
+neighbours scored by a join with the vectors, and the beam keeps the best,
+until every node of every beam is opened. Neither has a limit of rounds: edges
+and beams only get better, so both end.
 All rounds are joins and aggregations over tables; what a node contributes is
 bounded by K and by ``MAX_REVERSE``, whatever the data. These bounds are
 parts of the approximation, whose recall the tests measure.
@@ -30,16 +33,15 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tally.llm.stage import staged
 
-#: Parameters: neighbours kept, reverse ones used, block size and projections of the first graph, descent rounds.
+#: Parameters: neighbours kept, reverse ones used, block size and projections of the first graph, share of new edges that ends the descent.
 K = 24
 MAX_REVERSE = 24
 BLOCK_ROWS = 1_000
 PROJECTIONS = 3
-ROUNDS = 6
-#: Beam, nodes opened a round, search rounds.
+SETTLED = 0.001
+#: Beam, nodes opened a round.
 BEAM = 384
 OPEN = 64
-HOPS = 7
 
 
 def usable(embeddings: DataFrame, ident: str, vector: str) -> DataFrame:
@@ -95,7 +97,7 @@ def first_graph(nodes: DataFrame, n: int, dim: int) -> DataFrame:
 
 
 def descend(graph: DataFrame, nodes: DataFrame, groups: int) -> DataFrame:
-    """One NN-descent round: neighbours of a common node meet."""
+    """One NN-descent round: neighbours of a common node meet. (u, v, s, fresh); fresh: not in ``graph``."""
     worst = graph.groupBy("u").agg(F.min("s").alias("worst"), F.count(F.lit(1)).alias("k"))
     worst = worst.select(F.col("u").alias("x"), F.when(F.col("k") < K, F.lit(-2.0)).otherwise(F.col("worst")).cast("float").alias("worst"))
     back = best(graph.select(F.col("v").alias("u"), F.col("u").alias("v"), "s"), "u", "s", MAX_REVERSE, "v")
@@ -121,18 +123,20 @@ def descend(graph: DataFrame, nodes: DataFrame, groups: int) -> DataFrame:
         return out.sort_values("s", ascending=False, kind="stable").groupby("u", sort=False).head(K)
 
     fresh = rows.groupBy("group").applyInPandas(local, "u long, v long, s float")
-    return best(graph.union(fresh).dropDuplicates(["u", "v"]), "u", "s", K, "v")
+    both = graph.select("u", "v", "s", F.lit(False).alias("fresh")).union(fresh.select("u", "v", "s", F.lit(True)))
+    return best(both.groupBy("u", "v").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh")), "u", "s", K, "v")
 
 
-def build(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def build(nodes: DataFrame) -> DataFrame:
     """The neighbour graph (u, v, s), K best neighbours of every node."""
     shape = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("unit")).alias("dim")).first()
     if not shape["n"]:
         return nodes.select(F.col("node").alias("u"), F.col("node").alias("v"), F.lit(0.0).cast("float").alias("s"))
     graph = staged(first_graph(nodes, shape["n"], shape["dim"]), "graph")
-    for _ in range(rounds):
+    while True:
         graph = staged(descend(graph, nodes, max(1, shape["n"] // 2_000)), "graph")
-    return graph
+        if graph.filter("fresh").count() <= SETTLED * K * shape["n"]:
+            return graph.drop("fresh")
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -146,7 +150,7 @@ def walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
     units = nodes.select(F.col("node").alias("v"), "unit")
     asked = queries.select(F.col("node").alias("q"), F.col("unit").alias("asked"))
     beam = staged(asked.select("q", F.col("q").alias("v"), F.lit(1.0).alias("s"), F.lit(False).alias("opened")), "beam")
-    for _ in range(HOPS):
+    while not beam.filter(~F.col("opened")).isEmpty():
         front = best(beam.filter(~F.col("opened")), "q", "s", OPEN, "v").select("q", F.col("v").alias("u"))
         reached = front.join(both, "u").select("q", "v").distinct().join(beam.select("q", "v"), ["q", "v"], "left_anti")
         scored = reached.join(units, "v").join(asked, "q").select("q", "v", dot(F.col("unit"), F.col("asked")).alias("s"), F.lit(False).alias("opened"))

@@ -181,6 +181,21 @@ def test_neighbours_recall_and_edges(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbour_search_ends_when_nothing_is_left_to_open(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 200)
+    x = np.random.default_rng(6).normal(size=(4000, 32))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>").withColumn("node", F.col("id"))
+    nodes = neighbours.staged(neighbours.nodes_of(rows), "nodes")
+    graph = neighbours.build(nodes)
+    again = neighbours.descend(graph, nodes, 2)
+    assert again.join(graph, ["u", "v"], "left_anti").count() <= 2 * 0.001 * 4000 * neighbours.K
+    beam = neighbours.walk(nodes.filter("node % 200 = 0"), graph, nodes).toPandas()
+    assert beam.opened.all() and (beam.groupby("q").size() == neighbours.BEAM).all()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = sum(len(set(np.argsort(-unit @ unit[q])[:6]) & set(own.v)) for q, own in beam.groupby("q"))
+    assert hits >= 0.95 * 6 * 20
+
+
 def test_toxicity_held_out(spark, docs, empty):
     rng = random.Random(5)
     rows, labels = [], []
