@@ -44,7 +44,8 @@ TREES, DEPTH, RATE, BINS = 40, 4, 0.25, 32
 
 # Element sorts of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option button object head xmp noframes".split())
+RAW = frozenset("script style noscript template textarea title iframe svg select option head xmp noframes".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 TEXT_ONLY = frozenset("script style textarea title iframe noscript xmp noframes".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -82,11 +83,13 @@ def parse(page: str) -> Node:
     at, pos, n = root, 0, len(page)
     while pos < n:
         m = _MARK.search(page, pos)
+        text = page[pos:m.start()] if m else page[pos:]
+        if at.tag == "head" and text.strip():
+            at = at.parent
+        if text:
+            at.items.append(text)
         if not m:
-            at.items.append(page[pos:])
             break
-        if m.start() > pos:
-            at.items.append(page[pos:m.start()])
         pos = m.end()
         if not m.group(2):
             continue
@@ -98,6 +101,9 @@ def parse(page: str) -> Node:
             if x is not root:
                 at = x.parent
             continue
+        # like text above, an element that cannot stand in a head ends an open one
+        if at.tag == "head" and tag not in IN_HEAD and tag != "head":
+            at = at.parent
         if tag in CLOSES_P:
             x = at
             while x is not root and x.tag not in ("p", "td", "li", "div", "article", "body", "table"):

@@ -149,6 +149,17 @@ def test_page_text(spark):
     assert html_text.extract(pages.limit(0), html_text.train(pages.limit(0))).count() == 0
 
 
+def test_body_behind_an_open_head_and_inline_sorts_are_read():
+    seen = lambda page: {n.tag: "".join(x for x in n.items if isinstance(x, str)) for n in html_text.elements(html_text.parse(page))}
+    for body in ("<body><article><p>Some text.</p></article>", "<article><p>Some text.</p></article>", "\n<div><p>Some text.</p></div>"):
+        assert seen("<html><head><title>x</title><meta charset=utf-8><script>1</script>" + body)["p"] == "Some text."
+    assert "loose words" in seen("<html><head><title>x</title> loose words")["html"]
+    assert "head" not in seen("<html><head><title>x</title><template><p>no</p></template></head><body>b</body></html>")
+    assert "p" not in seen("<html><head><title>x</title><template><p>no</p></template></head><body>b</body></html>")
+    got = seen("<p>a <math><mi>x</mi></math> <object>b</object> <button>c</button></p>")
+    assert (got["mi"], got["object"], got["button"]) == ("x", "b", "c")
+
+
 def test_decoding_keeps_no_text_under_a_rejected_parent():
     nodes = html_text.elements(html_text.parse("<div><p>aaaa bbbb</p><div><p>cccc dddd</p></div></div>"))
     odds = np.array([1.0 if n.tag == "p" else -9.0 for n in nodes])
