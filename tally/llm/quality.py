@@ -2,22 +2,22 @@
 
 Every document gets two histograms: its character classes and its common
 words. Each is compared with the reference of the document's language (the
-corpus' own pooled histogram) by Jensen-Shannon distance, the square root of
+mean over the corpus' own documents of that language, each counting once) by Jensen-Shannon distance, the square root of
 the divergence in bits, from 0 (same) to 1 (disjoint). Short documents have
 noisy histograms, so a distance only counts from a minimum length on. Two
 plain guards come first: too few words, and too large a share of words in
 repeated three-word windows.
 
-Edge cases. Null and empty text: no words, fails the word guard. Null or
-unknown language: only the characters are compared, with all languages' pooled
-reference.
+Edge cases. Null and empty text: no words, fails the word guard. A
+language whose common words are not listed here: only the characters are
+compared. Null language: no reference, so the distances are null and pass.
 Repeated rows: each row is judged alone. Empty table: empty result. Columns of
 the input named like a result column are replaced by the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tally.llm.stage import carried, carried_column, staged, with_results
 
@@ -32,7 +32,6 @@ COMMON_WORDS = {
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "sur"],
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "una", "su"],
 }
-LANGUAGES = sorted(COMMON_WORDS)
 
 #: Parameters: guards and thresholds. A distance is used from so many words on.
 MIN_WORDS = 50
@@ -63,9 +62,8 @@ def _histograms(df: DataFrame) -> DataFrame:
     spaces = length - F.col("_word_chars")
     counts = {**per_class, "space": spaces, "lower": length - rest - spaces,
               "other": rest - sum(per_class.values())}
-    known = F.col("_lang").isin(LANGUAGES)
     return df.select("*", F.array(*[c.cast("double") for c in counts.values()]).alias("_chars"),
-                     F.when(known, F.col("_lang")).otherwise("").alias("_ref"), _word_histogram().alias("_hist"))
+                     F.col("_lang").alias("_ref"), _word_histogram().alias("_hist"))
 
 
 def _word_histogram() -> Column:
@@ -93,20 +91,22 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
 
 
 def language_references(measured: DataFrame) -> DataFrame:
-    """One row per language (and one, named "", for the rest) with the histograms of all its
-    documents, scaled to sum one: (ref, ref_chars, ref_words).
+    """One row per language value present, with the mean of its documents' histograms, each scaled
+    to sum one: (ref, ref_chars, ref_words).
 
-    Five rows at most, whatever the input; sums are combined before the shuffle.
-    The row "" pools the characters of all languages and has no words.
+    A document counts once, however long, so a few long ones do not move the reference. Languages
+    without common words here have a reference of characters alone; a null language has none.
+    As many rows as language values, whatever the input; sums are combined before the shuffle.
     """
     n_c, n_w = len(CLASSES) + 3, max(map(len, COMMON_WORDS.values())) + 1
-    by_lang = measured.groupBy("_ref").agg(*[F.sum(F.col("_chars")[i]).alias(f"c{i}") for i in range(n_c)],
-                                           *[F.sum(F.col("_hist")[i]).alias(f"w{i}") for i in range(n_w)])
-    scaled = lambda cols: F.transform(F.array(*cols), lambda x: x / F.greatest(F.lit(1.0), sum(cols, F.lit(0.0))))
-    pooled = [F.when(F.col("_ref") == "", F.sum(f"c{i}").over(W.partitionBy())).otherwise(F.col(f"c{i}")) for i in range(n_c)]
-    return (by_lang.select("*", *[c.alias(f"p{i}") for i, c in enumerate(pooled)])
-            .select(F.col("_ref").alias("ref"), scaled([F.col(f"p{i}") for i in range(n_c)]).alias("ref_chars"),
-                    F.when(F.col("_ref") != "", scaled([F.col(f"w{i}") for i in range(n_w)])).alias("ref_words")))
+    whole = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    even = lambda c, n: F.when(F.col(n) > 0, F.transform(c, lambda x: x / F.col(n)))
+    each = _materialised(measured.filter("_ref is not null").select("_ref", "_chars", "_hist"), _all_chars=whole("_chars"), _all_words=whole("_hist"))
+    each = _materialised(each, _c=even("_chars", "_all_chars"), _w=even("_hist", "_all_words"))
+    by_lang = each.groupBy("_ref").agg(*[F.avg(F.col("_c")[i]).alias(f"c{i}") for i in range(n_c)],
+                                       *[F.avg(F.col("_w")[i]).alias(f"w{i}") for i in range(n_w)])
+    return by_lang.select(F.col("_ref").alias("ref"), F.when(F.col("c0").isNotNull(), F.array(*[f"c{i}" for i in range(n_c)])).alias("ref_chars"),
+                          F.when(F.col("w0").isNotNull(), F.array(*[f"w{i}" for i in range(n_w)])).alias("ref_words"))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -115,7 +115,7 @@ def js_distance(p: Column, q: Column) -> Column:
     term = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     parts = F.zip_with(F.transform(p, lambda x: x / total), q,
                        lambda a, b: (term(a, (a + b) / 2) + term(b, (a + b) / 2)) / 2)
-    return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x))))
+    return F.when((total > 0) & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda a, x: a + x))))
 
 
 def _repeat_words(df: DataFrame) -> DataFrame:
@@ -152,7 +152,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", carry: list[s
     n_repeat_words, base_failed, char_distance, word_distance, kept.
 
     The measured rows are staged, as both the references and the verdicts need
-    them; the references (five rows at most) are broadcast. No text is shuffled.
+    them; the references (one small row per language value) are broadcast. No text is
+    shuffled. A document without a reference, of a null language, passes the distances.
     """
     measured = measure(docs, text, lang)
     if carry is not None:

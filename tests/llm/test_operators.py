@@ -64,6 +64,18 @@ def test_quality_matches_brute_force(docs, empty, rows):
     assert quality.judge(empty).count() == 0
 
 
+def test_quality_keeps_clean_text_of_any_language(spark):
+    rng = random.Random(4)
+    cyrillic = ["".join(rng.choice("абвгдежзиклмнопрстуф") for _ in range(rng.randint(3, 9))) for _ in range(200)]
+    clean = lambda forms: " ".join(rng.choice(forms) for _ in range(90)) + "."
+    latin = [w + e for w in WORDS for e in ("", "a", "el", "ion", "ing", "er")]
+    rows = [(i, clean(latin), "en") for i in range(30)] + [(100 + i, clean(cyrillic), "ru") for i in range(5)] + [(200, clean(cyrillic), None)]
+    junk = " ".join(str(rng.randint(10**5, 10**9)) for _ in range(30_000))
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows + [(300, junk, "en")], "doc_id long, text string, lang string")).collect()}
+    assert [i for i, r in got.items() if not r.kept] == [300]
+    assert got[200].char_distance is None and got[100].word_distance is None
+
+
 def _components(rows, width, percent):
     sets = []
     for doc_id, t, *_ in rows:
