@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, repeats, toxicity
+from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, recipes, repeats, toxicity
 from tally.llm.stage import documents, staged
 
 
@@ -54,6 +54,17 @@ def op10_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op11_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.exact_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op3_boosted_dom_text, op4_nn_descent, op5_ftrl_toxicity, op6_context_mixing, op7_distribution_divergence,
-                                     op8_suffix_run_dedup, op9_curriculum_mix, op10_minimum_bin_slack)}
-ORACLE: dict[str, str] = {}
+                                     op8_suffix_run_dedup, op9_curriculum_mix, op10_minimum_bin_slack, op11_chunk_recipes)}
+ORACLE: dict[str, str] = {
+    "op11_chunk_recipes": """
+WITH bare AS (SELECT doc_id, length(coalesce(text, '')) AS size,
+                     regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
+ranked AS (SELECT *, first(doc_id) OVER (PARTITION BY norm ORDER BY size DESC, doc_id) AS keep_id,
+                  count(*) OVER (PARTITION BY norm) AS group_size FROM bare)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM ranked""",
+}

@@ -38,3 +38,9 @@ def with_results(work: DataFrame, df: DataFrame, results: dict[str, Column]) ->
     replaces an input column of the same name."""
     return work.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(df.columns) if c not in results],
                        *[c.alias(name) for name, c in results.items()])
+
+
+def computed(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns through a one-row generator, so that the optimiser computes each once
+    instead of copying its expression into every use."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
