@@ -7,7 +7,7 @@ the chain is the sequence itself: step k is the row with ``seq = k``. So the
 walk is a semi-join to keys whose first row passes the anchor test and a stop
 at the first row whose ``start`` is not the previous ``end``. There is no
 longest chain; ``max_depth`` cuts chains only where a caller asks for it. The
-previous ``end`` comes from the bucketed LAG, so a key with very many rows is
+previous ``end`` comes from a LAG over ranges of the order, so a key with very many rows is
 never one task.
 
 With tied start times a recursive walk fans out (a zero-length period joins
@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from tally.operators.ordered import Prefix, prefix_aggregate
 
 
-SEQ_BUCKET_ROWS = 1000
-
 
 def walk_chain(df: DataFrame, key: str, seq: str, start: str, end: str, *,
                anchor: Column | None = None, max_depth: int | None = None,
@@ -34,8 +32,7 @@ def walk_chain(df: DataFrame, key: str, seq: str, start: str, end: str, *,
         first = first.filter(anchor)
     rows = df if max_depth is None else df.filter(F.col(seq) <= max_depth)
     rows = rows.join(first.select(key), key, "left_semi")
-    linked = prefix_aggregate(rows, [key], [seq], [Prefix("_tly_prev", "lag", end)],
-                              bucket=F.floor(F.col(seq) / SEQ_BUCKET_ROWS))
+    linked = prefix_aggregate(rows, [key], [seq], [Prefix("_tly_prev", "lag", end)])
     broken = (F.col(seq) > 1) & ~F.coalesce(F.col("_tly_prev") == F.col(start), F.lit(False))
     stops = linked.filter(broken).groupBy(F.col(key).alias("_tly_key")).agg(
         F.min(seq).alias("_tly_stop"))

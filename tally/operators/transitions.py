@@ -29,15 +29,15 @@ def classify_transitions(df: DataFrame, col: str, rules: Sequence[tuple[object,
 def transitions(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                 value: str, time: str, rules: Sequence[tuple[object, str]],
                 first_label: str = "new", default: str = "other",
-                bucket: Column | None = None, seq: str = "seq") -> DataFrame:
+                seq: str = "seq", **options) -> DataFrame:
     """Per key in ``order``: ``seq``, ``prev_<value>``, ``next_<time>`` and a
     ``transition_type`` (first row of a key -> ``first_label``).
 
-    With a ``bucket`` the per-key order is computed bucket-wise (see
-    ``tally.operators.ordered``), so a huge key is spread over many tasks.
+    The order is worked on in ranges (see ``tally.operators.ordered``, which takes
+    ``options``), so a huge key is spread over many tasks.
     """
-    s = sequence_index(df, keys, order, bucket=bucket, idx=seq, idx_inverse=None, count=None,
+    s = sequence_index(df, keys, order, idx=seq, idx_inverse=None, count=None,
                        extra=[Prefix(f"prev_{value}", "lag", value),
-                              Prefix(f"next_{time}", "lead", time)])
+                              Prefix(f"next_{time}", "lead", time)], **options)
     return classify_transitions(s, value, rules, first=F.col(seq) == 1,
                                 first_label=first_label, default=default)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.time import as_timestamp, day_start_epoch, epoch_to_ts, ts_lit
-from tally.operators.ordered import Prefix, id_block, sequence_index
+from tally.operators.ordered import Prefix, sequence_index
 from tally.operators.transitions import classify_transitions
 from tally.operators.union import union_sources
 
@@ -34,7 +34,7 @@ STAGING_COLUMNS = ["user_id", "plan_id", "prev_plan_id", "period_start", "period
 
 def event_log(user_events: DataFrame, system_events: DataFrame, api_events: DataFrame,
               as_of: str | dt.date, lookback_days: int | None = 3,
-              bucket_seconds: int = 60, index: bool = True) -> DataFrame:
+              index: bool = True) -> DataFrame:
     """The three event sources in one indexed log.
 
     * look-back on the raw ``epoch_ts`` (pushed into each parquet scan);
@@ -43,8 +43,8 @@ def event_log(user_events: DataFrame, system_events: DataFrame, api_events: Data
     * per user: ``idx`` (1 = oldest), ``idx_inverse`` (1 = newest) and the
       count, ordered by (epoch_ts, event_source, event_id) so ties are stable.
 
-    The per-user index is computed per (user, minute) bucket plus prefix
-    offsets, so the anonymous user -1 does not end up in one task.
+    The per-user index comes from prefix offsets over ranges of each user's
+    order, so the anonymous user -1 does not end up in one task.
     ``index=False`` leaves the three index columns out (no shuffle at all):
     the downstream jobs read only the event columns.
     """
@@ -65,14 +65,12 @@ def event_log(user_events: DataFrame, system_events: DataFrame, api_events: Data
         return union.select(*base)
     indexed = sequence_index(
         union, ["user_id"], ["epoch_ts", "event_source", "event_id"],
-        bucket=F.floor(F.col("epoch_ts") / F.lit(bucket_seconds)),
-        refine=[F.col("epoch_ts"), F.col("event_source"), id_block("event_id")],
         idx="idx", idx_inverse="idx_inverse", count="user_event_count")
     return indexed.select(*base, "idx", "idx_inverse", "user_event_count")
 
 
 def subscription_staging(event_log_df: DataFrame, billing_transactions: DataFrame,
-                         as_of_ts: str | dt.datetime, bucket: str = "hour") -> DataFrame:
+                         as_of_ts: str | dt.datetime) -> DataFrame:
     """Subscription events joined to billing, one row per period.
 
     ``event_seq`` orders a user's events by (event_ts, event_source, event_id)
@@ -93,8 +91,6 @@ def subscription_staging(event_log_df: DataFrame, billing_transactions: DataFram
         joined, ["user_id"],
         ["event_ts", "event_source", "event_id", "plan_id", "amount_cents", "currency",
          "transaction_status"],
-        bucket=F.date_trunc(bucket, F.col("event_ts")),
-        refine=[F.col("event_ts"), F.col("event_source"), id_block("event_id")],
         idx="event_seq", idx_inverse=None, count=None,
         extra=[Prefix("prev_plan_id", "lag", "plan_id"),
                Prefix("next_event_ts", "lead", "event_ts")])

@@ -28,22 +28,17 @@ def merged_periods(periods: DataFrame, keys: Sequence[str] = ("user_id", "plan_i
     """``(keys..., island_seq, period_start, period_end, period_count)``.
 
     Gaps-and-islands with a running maximum of the end; both running
-    operations are bucketed by the month of the start, so a (user, plan) with
-    a huge history is spread over many tasks.
+    operations work on ranges of the order, so a (user, plan) with a huge
+    history is spread over many tasks.
     """
     keys = list(keys)
     d = periods.dropDuplicates()
     order = [start, end, *[c for c in d.columns if c not in (*keys, start, end)]]
-    bucket = F.trunc(F.col(start), "month")
-    # rows are unique after dropDuplicates: the order columns split a hot month
-    refine = [F.col(c) for c in order]
-    p1 = prefix_aggregate(d, keys, order, [Prefix("_tly_prev_end", "max", end, inclusive=False)],
-                          bucket=bucket, refine=refine)
+    p1 = prefix_aggregate(d, keys, order, [Prefix("_tly_prev_end", "max", end, inclusive=False)])
     p1 = p1.withColumn("_tly_brk", F.when(
         F.col("_tly_prev_end").isNull() | (F.col(start) > F.col("_tly_prev_end")),
         F.lit(1)).otherwise(F.lit(0)))
-    p2 = prefix_aggregate(p1, keys, order, [Prefix("island_seq", "sum", "_tly_brk")],
-                          bucket=bucket, refine=refine)
+    p2 = prefix_aggregate(p1, keys, order, [Prefix("island_seq", "sum", "_tly_brk")])
     return p2.groupBy(*keys, "island_seq").agg(
         F.min(start).alias(start), F.max(end).alias(end),
         F.count(F.lit(1)).alias("period_count"))

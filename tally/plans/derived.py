@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.time import as_date, date_lit
-from tally.operators.ordered import Prefix, id_block, prefix_aggregate
+from tally.operators.ordered import Prefix, prefix_aggregate
 from tally.operators.periods import date_spine
 
-SEQ_BUCKET_ROWS = 1000
-
 
 def billing_events(event_log_df: DataFrame, billing_transactions: DataFrame,
                    as_of: str | dt.date) -> DataFrame:
@@ -44,11 +42,9 @@ def subscription_events_enriched(staging: DataFrame, plan_info_df: DataFrame,
 
 def period_calc(staging: DataFrame) -> DataFrame:
     """Periods with ``days_active`` and ``is_churned`` (this period or the
-    next one is a churn). The next period comes from a bucketed LEAD over the
-    dense ``event_seq`` (buckets of 1,000 sequence numbers)."""
+    next one is a churn). The next period comes from a LEAD over ``event_seq``."""
     nxt = prefix_aggregate(staging, ["user_id"], ["event_seq"],
-                           [Prefix("_tly_next", "lead", "transition_type")],
-                           bucket=F.floor(F.col("event_seq") / SEQ_BUCKET_ROWS))
+                           [Prefix("_tly_next", "lead", "transition_type")])
     churn = (F.col("transition_type") == "churn") | F.coalesce(
         F.col("_tly_next") == "churn", F.lit(False))
     return nxt.select("user_id", "event_seq", "plan_id", "period_start", "period_end",
@@ -100,15 +96,13 @@ def subscription_events(staging: DataFrame) -> DataFrame:
 def payment_history(payment_billing_df: DataFrame) -> DataFrame:
     """Per user in (invoice_date, invoice_id) order: payment number,
     running net revenue (NULL counted as 0) and days since the previous
-    invoice. Bucketed by invoice month: a heavy payer spans many tasks."""
+    invoice. A heavy payer spans many tasks."""
     net = F.coalesce(F.col("net_revenue_cents"), F.lit(0).cast("long"))
     h = prefix_aggregate(
         payment_billing_df.withColumn("_tly_net", net), ["user_id"], ["invoice_date", "invoice_id"],
         [Prefix("payment_number", "count"),
          Prefix("running_net_revenue_cents", "sum", "_tly_net"),
-         Prefix("_tly_prev_date", "lag", "invoice_date")],
-        bucket=F.trunc("invoice_date", "month"),
-        refine=[F.col("invoice_date"), id_block("invoice_id")])
+         Prefix("_tly_prev_date", "lag", "invoice_date")])
     return h.select("user_id", "invoice_id", "invoice_date", "payment_status",
                     "net_revenue_cents", "payment_number", "running_net_revenue_cents",
                     F.datediff("invoice_date", "_tly_prev_date").alias("days_since_prev_payment"))

@@ -16,7 +16,7 @@ from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
 from tally.operators.chain import walk_chain
 from tally.operators.counting import count_distinct_by
-from tally.operators.ordered import id_block, running_total, sequence_index
+from tally.operators.ordered import running_total, sequence_index
 from tally.operators.periods import explode_days, join_containing, merge_metrics
 from tally.operators.pivot import pivot_flags, pivot_max
 from tally.operators.replace import replace_window
@@ -39,9 +39,7 @@ def union_events(p) -> DataFrame:
 
 def invoice_sequence(p) -> DataFrame:
     inv = p.raw["invoices"].select("invoice_id", "user_id", "invoice_date")
-    return sequence_index(inv, ["user_id"], ["invoice_date", "invoice_id"],
-                          bucket=F.trunc("invoice_date", "month"),
-                          refine=[F.col("invoice_date"), id_block("invoice_id")])
+    return sequence_index(inv, ["user_id"], ["invoice_date", "invoice_id"])
 
 
 def period_transitions(p) -> DataFrame:
@@ -49,8 +47,7 @@ def period_transitions(p) -> DataFrame:
     rules = [(F.col("plan_id") > F.col("prev_plan_id"), "upgrade"),
              (F.col("plan_id") < F.col("prev_plan_id"), "downgrade")]
     t = transitions(per, ["user_id"], ["period_start", "plan_id", "period_end", "mrr_cents"],
-                    value="plan_id", time="period_start", rules=rules, default="renewal",
-                    bucket=F.trunc("period_start", "month"))
+                    value="plan_id", time="period_start", rules=rules, default="renewal")
     return t.select("user_id", "seq", "plan_id", "prev_plan_id", "period_start",
                     "next_period_start", "transition_type")
 
@@ -108,8 +105,7 @@ def invoice_categories(p) -> DataFrame:
 def global_running_total(p) -> DataFrame:
     b = p.billing(None).select("invoice_id", "invoice_date", "total_cents")
     return running_total(b, "total_cents", ["invoice_date", "invoice_id"],
-                         name="running_total_cents", bucket=F.trunc("invoice_date", "month"),
-                         refine=[F.col("invoice_date"), id_block("invoice_id")])
+                         name="running_total_cents")
 
 
 def _daily_invoices(p) -> DataFrame:

@@ -12,7 +12,7 @@ from tally.functions.numeric import round_half
 from tally.functions.time import as_date, as_timestamp, date_lit, ts_lit
 from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
-from tally.operators.chain import SEQ_BUCKET_ROWS, walk_chain
+from tally.operators.chain import walk_chain
 from tally.operators.ordered import Prefix, prefix_aggregate
 from tally.operators.pivot import max_columns, pivot_flags
 
@@ -110,10 +110,8 @@ def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str
                         "period_start", "period_end", days.alias("period_days"),
                         "transition_type", "prev_plan_tier", mrr.alias("mrr_cents"),
                         trial.alias("is_trial"), F.coalesce(active, F.lit(False)).alias("is_active"))
-    # bucketed running sum: a user may have any number of periods
     return prefix_aggregate(enriched, ["user_id"], ["period_seq"],
-                            [Prefix("cumulative_revenue_cents", "sum", "mrr_cents")],
-                            bucket=F.floor(F.col("period_seq") / SEQ_BUCKET_ROWS)).select(*PERIOD_COLUMNS)
+                            [Prefix("cumulative_revenue_cents", "sum", "mrr_cents")]).select(*PERIOD_COLUMNS)
 
 
 def user_activity(event_log_df: DataFrame, as_of: str | dt.date, lookback_days: int = 7,

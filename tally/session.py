@@ -7,6 +7,7 @@ timestamps and back.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,13 +53,16 @@ def utc_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only when it is unset in a local session
+    (tests) a scratch folder is created and registered. A cluster must name one,
+    as its executors do not see each other's local folders.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tally-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -99,7 +99,7 @@ def test_union_and_transitions(df):
     rules = [(F.col("plan_id") > F.col("prev_plan_id"), "upgrade"),
              (F.col("plan_id") < F.col("prev_plan_id"), "downgrade")]
     t = transitions(per, ["user_id"], ["period_start"], value="plan_id", time="period_start",
-                    rules=rules, default="renewal", bucket=F.trunc("period_start", "month"))
+                    rules=rules, default="renewal")
     got = [(r["seq"], r["transition_type"], r["next_period_start"]) for r in
            t.orderBy("seq").collect()]
     assert got == [(1, "new", T(2024, 2, 1)), (2, "upgrade", T(2024, 3, 1)),
