@@ -9,8 +9,8 @@ so the work of all rounds is a few times the first one's. At most ``BASE``
 chains, a fixed number, are ranked in one task; then every fold and chain hands
 its positions back.
 
-Edge cases. Empty list: empty result. Several lists: each counts from 0. Keys
-must be unique; a null first key column of ``next_`` ends the list.
+Edge cases. Empty list: empty result. Several lists (at most a few thousand,
+as what is left of each goes to the last task): each counts from 0. Keys must be unique; a null first key column of ``next_`` ends the list.
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ def rank(links: DataFrame, keys: Sequence[str], parts: int | None = None, base:
     chains = local.filter("length > 0").select(*k, "length", *n)
     folds = []
     chains = staged(chains, "list")
-    while chains.count() > base:
+    while chains.filter("n0 is not null").count() > base:
         chains, removed = _fold(chains, k, n, len(folds))
         folds.append(removed)
 
