@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tally.llm import context_mixing, conversation_trie, html_text, mixing, near_dedup, neighbours, packing, privacy, quality, recipes, repeats, toxicity
+from tally.llm import context_mixing, conversation_trie, html_text, mixing, near_dedup, neighbours, packing, periodic_runs, privacy, quality, recipes, repeats, toxicity
 from tally.llm.stage import documents, staged
 
 
@@ -62,8 +62,12 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.runs(documents(spark, sf_dir), layout=periodic_runs.planted))
+
+
 QUERIES = {f.__name__: f for f in (op1_odd_sketch_near_dedup, op2_weak_supervision_pii, op3_boosted_dom_text, op4_nn_descent, op5_ftrl_toxicity, op6_context_mixing, op7_distribution_divergence,
-                                     op8_suffix_run_dedup, op9_curriculum_mix, op10_minimum_bin_slack, op11_chunk_recipes, op12_conversation_trie)}
+                                     op8_suffix_run_dedup, op9_curriculum_mix, op10_minimum_bin_slack, op11_chunk_recipes, op12_conversation_trie, op13_periodic_runs)}
 ORACLE: dict[str, str] = {
     "op11_chunk_recipes": """
 WITH bare AS (SELECT doc_id, length(coalesce(text, '')) AS size,
