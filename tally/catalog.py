@@ -131,9 +131,8 @@ QUERIES: dict[str, Query] = {
         p.billing(30), p.periods, AS_OF, 30, point_in_time=True)),
     **{f"categorize_{src}": _q(lambda p, src=src, ct=ct: text.categorize_text(
         p.raw[f"text_{src}"], TEST_DICTIONARY, ct)) for src, ct in text.CATEGORY_TYPES.items()},
-    "extract_terms": _q(lambda p: text.term_table(p.raw["text_reviews"])),
-    "match_categories": _q(lambda p: text.category_table(p.raw["text_tickets"],
-                                                         TEST_DICTIONARY)),
+    "extract_terms": _q(lambda p: text.term_table(p.raw["text_documents"])),
+    "match_categories": _q(lambda p: text.category_table(p.raw["text_turns"], TEST_DICTIONARY)),
     "billing_events": _q(lambda p: derived.billing_events(
         p.event_log, p.raw["billing_transactions"], AS_OF)),
     "subscription_events_enriched": _q(lambda p: derived.subscription_events_enriched(
@@ -158,6 +157,13 @@ QUERIES: dict[str, Query] = {
     "pivot_flags": _q(ops.feature_flags),
     "pivot_max": _q(ops.price_pivot),
     "walk_chain": _q(ops.chain_walk),
+    "chain_links": _q(ops.chain_links),
+    "subscription_periods_incremental": _q(ops.incremental_periods),
+    "active_by_hour": _q(ops.active_by_hour),
+    "categorize_incremental": _q(lambda p: ops.incremental_categories(p, TEST_DICTIONARY)),
+    "load_dictionaries": _q(ops.dictionaries),
+    "load_sheet": _q(ops.sheet_rows),
+    "load_sheet_rejects": _q(ops.sheet_rejects),
     "session_buckets": _q(ops.session_buckets),
     "first_last_by": _q(ops.first_last),
     "active_by_day": _q(ops.active_by_day),

@@ -19,8 +19,9 @@ def date_spine(spark: SparkSession, start: str | dt.date, end: str | dt.date,
 
 
 def explode_days(df: DataFrame, start: str | Column, end: str | Column,
-                 lo: str | dt.date, hi: str | dt.date, col: str = "metric_date") -> DataFrame:
-    """One row per (period, day) for the days of [start, end] inside [lo, hi].
+                 lo: str | dt.date | None = None, hi: str | dt.date | None = None,
+                 col: str = "metric_date") -> DataFrame:
+    """One row per (period, day) for the days of [start, end] inside [lo, hi] (None: no bound).
 
     Replaces the range join ``day BETWEEN date(start) AND date(end)`` with a
     spine: each period is clipped to the window first, so the output has at
@@ -28,10 +29,13 @@ def explode_days(df: DataFrame, start: str | Column, end: str | Column,
     """
     s = F.to_date(F.col(start) if isinstance(start, str) else start)
     e = F.to_date(F.col(end) if isinstance(end, str) else end)
-    lo_c, hi_c = date_lit(as_date(lo)), date_lit(as_date(hi))
-    # a period that ends before it starts covers no day
-    return (df.filter((s <= e) & (s <= hi_c) & (e >= lo_c))
-              .withColumn(col, F.explode(F.sequence(F.greatest(s, lo_c), F.least(e, hi_c)))))
+    covered = s <= e  # a period that ends before it starts covers no day
+    first, last = s, e
+    if lo is not None:
+        covered, first = covered & (e >= date_lit(as_date(lo))), F.greatest(s, date_lit(as_date(lo)))
+    if hi is not None:
+        covered, last = covered & (s <= date_lit(as_date(hi))), F.least(e, date_lit(as_date(hi)))
+    return df.filter(covered).withColumn(col, F.explode(F.sequence(first, last)))
 
 
 def join_containing(left: DataFrame, day: str, right: DataFrame, start: str, end: str,

@@ -8,14 +8,16 @@ them under the operator's key.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
-from tally.operators.chain import walk_chain
+from tally.operators.chain import walk_chain, walk_links
 from tally.operators.counting import count_distinct_by
+from tally.operators.intervals import interval_join
 from tally.operators.ordered import running_total, sequence_index
 from tally.operators.periods import explode_days, join_containing, merge_metrics
 from tally.operators.pivot import pivot_flags, pivot_max
@@ -23,11 +25,15 @@ from tally.operators.replace import replace_window
 from tally.operators.transitions import transitions
 from tally.operators.union import union_sources
 from tally.functions.time import as_timestamp, ts_lit
-from tally.plans import derived, gold, quality, silver
+from tally.plans import derived, gold, quality, silver, text
+from tally.plans.history import PeriodHistory
+from tally.plans.pipeline import PLAN_SHEET_SCHEMA
+from tally.session import checkpoint_dir
+from tally.sinks.versions import VersionedTable
+from tally.sources.dictionaries import merge_dictionaries
+from tally.sources.sheets import parse_cells
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "event_payload", "epoch_ts", "created_at"]
-# The span of the order-period fixture (whole table).
-ORDER_PERIOD_SPAN = ("1995-01-01", "2001-08-31")
 
 
 def union_events(p) -> DataFrame:
@@ -68,6 +74,12 @@ def chain_walk(p) -> DataFrame:
     return c.select("user_id", "period_seq", "plan_id", "period_start", "period_end")
 
 
+def chain_links(p) -> DataFrame:
+    return walk_links(p.raw["order_links"], ["user_id"], "period_start", "period_end",
+                      anchor=F.col("is_first")).select(
+        "order_id", "user_id", "period_start", "period_end", "period_seq")
+
+
 def session_buckets(p) -> DataFrame:
     return p.event_log.groupBy("user_id", F.col("event_date").alias("activity_date")).agg(
         bucket_count("event_ts", 30).alias("session_count"))
@@ -80,8 +92,7 @@ def first_last(p) -> DataFrame:
 
 
 def active_by_day(p) -> DataFrame:
-    days = explode_days(p.raw["order_periods"], "period_start", "period_end",
-                        *ORDER_PERIOD_SPAN)
+    days = explode_days(p.raw["order_periods"], "period_start", "period_end")
     per_user = days.groupBy("metric_date", "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("mrr_cents").alias("mrr"))
     return per_user.groupBy("metric_date").agg(
@@ -96,6 +107,49 @@ def point_in_period(p) -> DataFrame:
                            "user_id").select("user_id", "activity_date", "period_seq", "plan_id")
 
 
+def incremental_periods(p) -> DataFrame:
+    """J4 after three daily runs, each with the events known by its day (the last one: all)."""
+    history = PeriodHistory(p.spark, f"{checkpoint_dir(p.spark)}/tally-history/{uuid.uuid4().hex}")
+    for day in ("2024-01-15", "2024-01-25", None):
+        known = p.event_log if day is None else p.event_log.filter(F.col("event_date") <= F.lit(day).cast("date"))
+        history.update(known, p.raw["billing_transactions"])
+    return silver.subscription_periods(history.staging(p.as_of_ts), p.plan_info, p.as_of, p.as_of_ts, 90, None,
+                                       plans=p.raw["plans"])
+
+
+def active_by_hour(p) -> DataFrame:
+    """Periods open at each full hour that lies in the periods' own span, and their amounts."""
+    per = p.staging.select("period_start", "period_end", "amount_cents")
+    span = per.agg(F.min("period_start").alias("lo"), F.max("period_end").alias("hi"))
+    hours = span.select(F.explode(F.sequence(
+        F.date_trunc("hour", F.col("lo").cast("timestamp")), F.col("hi").cast("timestamp"),
+        F.expr("INTERVAL 1 HOUR"))).alias("at")).select(F.col("at").cast("timestamp_ntz").alias("metric_hour"))
+    pairs = interval_join(hours, "metric_hour", per, "period_start", "period_end")
+    return pairs.groupBy("metric_hour").agg(F.count(F.lit(1)).alias("active_periods"),
+                                            F.sum("amount_cents").alias("amount_cents"))
+
+
+def dictionaries(p) -> DataFrame:
+    return merge_dictionaries(p.raw["dictionary_files"]).select(
+        F.col("ord").cast("long").alias("ord"), "category", F.array_join("keywords", ",").alias("keywords"))
+
+
+def incremental_categories(p, dictionary) -> DataFrame:
+    """All documents' categories, stored in two runs: first one text source, then all of them."""
+    table = VersionedTable(p.spark, f"{checkpoint_dir(p.spark)}/tally-categories/{uuid.uuid4().hex}")
+    for source in ("text_faq", "text_documents"):
+        stored = text.categorize_into(table, p.raw[source], dictionary, text.CATEGORY_TYPES["faq"], delete_flag=False)
+    return stored.select("id", "category", "category_type", F.sha2(F.col("nouns").cast("binary"), 256).alias("nouns_sha256"))
+
+
+def sheet_rows(p) -> DataFrame:
+    return parse_cells(p.raw["plan_sheet"], PLAN_SHEET_SCHEMA)[0]
+
+
+def sheet_rejects(p) -> DataFrame:
+    return parse_cells(p.raw["plan_sheet"], PLAN_SHEET_SCHEMA, row="sheet_row")[1]
+
+
 def invoice_categories(p) -> DataFrame:
     return p.raw["invoice_line_items"].groupBy("invoice_id").agg(
         dominant_category(silver.item_category(), silver.CATEGORY_PRIORITY, "other")

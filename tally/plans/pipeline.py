@@ -9,10 +9,13 @@ Storage follows the layers:
 * dimension and per-user tables (plan info, periods, summaries, cohorts) are
   fully replaced (R17);
 * windowed facts (daily activity, invoices, daily / weekly metrics) are
-  catalog tables partitioned by their date and updated with the idempotent
-  window replace (R16): the partitions of the look-back are rewritten,
-  history before it is kept, and a second run with the same input gives the
-  same tables.
+  versioned tables partitioned by their date and updated with the idempotent
+  window replace (R16), one commit each: the partitions of the look-back are
+  replaced, history before it is kept, and a second run with the same input
+  gives the same tables. A run that stops leaves every table whole;
+* subscription histories are kept by change (``history``): only users with
+  new, late or corrected events or billing are computed again;
+* categorised texts are kept with a ledger of the rows done (``text``).
 
 The delete bound of a windowed table is its job's look-back, never wider
 than the data the job reads (the event log's look-back bounds the activity
@@ -30,7 +33,10 @@ from pyspark.sql import functions as F
 from tally.functions.time import as_date
 from tally.plans import bronze, cohorts, derived, gold, quality, silver, text
 from tally.session import materialize
-from tally.sinks.tables import replace_table, replace_window_table
+from tally.plans.history import PeriodHistory
+from tally.sources import sheets
+from tally.sources.dictionaries import load_dictionaries
+from tally.sinks.tables import replace_table, replace_window_table, window_table
 
 # The validation rule set of the daily run.
 VALIDATION_RULES = {
@@ -43,17 +49,24 @@ VALIDATION_RULES = {
     "subscription_summary": [{"type": "not_empty"}],
 }
 
+# The columns of the plan sheet.
+PLAN_SHEET_SCHEMA = "plan_id long, plan_name string, max_seats int, monthly_price double, is_active boolean, valid_from date"
+
 
 def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.date,
             as_of_ts: str | dt.datetime | None = None, database: str = "analytics", *,
             bronze_lookback: int | None = 3, activity_lookback: int = 7, gold_lookback: int = 30,
             billing_lookback: int = 30, dictionaries: Mapping[str, list] | None = None,
+            dictionary_files: Mapping[str, list[str]] | None = None, plan_sheet: DataFrame | None = None,
+            plan_sheet_schema: str = PLAN_SHEET_SCHEMA, plan_sheet_row: str | None = None,
             validate: bool = True, now: str | dt.datetime | None = None) -> dict[str, DataFrame]:
     """Run every job in dependency order; return the tables (as read back).
 
     ``raw`` maps the raw table names (``user_events``, ``billing_transactions``,
     ``plans``, ``invoices``, ``order_periods``, ``text_*`` ...) to DataFrames.
-    ``dictionaries`` maps a text source (``reviews`` ...) to its dictionary.
+    ``dictionaries`` maps a text source (``reviews`` ...) to its dictionary,
+    ``dictionary_files`` to the JSON files to load it from; ``plan_sheet`` holds
+    the plan sheet's string cells (see ``sources.sheets.read_cells``).
     """
     d = as_date(as_of)
     as_of_ts = as_of_ts or f"{d.isoformat()} 00:00:00"
@@ -71,8 +84,7 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
 
     def windowed(name: str, date_col: str, lower: dt.date,
                  build: Callable[[], DataFrame]) -> DataFrame:
-        replace_window_table(spark, f"{database}.{name}", build(), date_col, lower)
-        t[name] = spark.table(f"{database}.{name}")
+        t[name] = replace_window_table(spark, f"{database}.{name}", build(), date_col, lower).read()
         return t[name]
 
     # A window never reaches back further than the data its job reads
@@ -99,8 +111,9 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     windowed("billed_event_log", "event_date", kept_lo, lambda: t["event_log"].join(
         raw["billing_transactions"].withColumnRenamed("reference_event_id", "event_id"),
         ["user_id", "event_id"], "left_semi").select(*kept))
-    staged("subscription_staging", lambda: bronze.subscription_staging(
-        t["subscription_event_log"], raw["billing_transactions"], as_of_ts), ["user_id", "period_start"])
+    history = PeriodHistory(spark, window_table(spark, f"{database}.subscription_history").path)
+    history.update(t["subscription_event_log"], raw["billing_transactions"])
+    staged("subscription_staging", lambda: history.staging(as_of_ts), ["user_id", "period_start"])
     full("plan_info", lambda: silver.plan_info(raw["plans"], raw["plan_features"],
                                                raw["plan_pricing"]))
     full("subscription_periods", lambda: silver.subscription_periods(
@@ -112,8 +125,8 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
     windowed("payment_billing", "invoice_date", d - dt.timedelta(days=billing_lookback),
              lambda: silver.payment_billing(raw["invoices"], raw["invoice_line_items"],
                                             raw["payment_methods"], d, billing_lookback))
-    counts = f"{database}.daily_event_counts"
-    stored = spark.table(counts) if spark.catalog.tableExists(counts) else None
+    counts = window_table(spark, f"{database}.daily_event_counts")
+    stored = counts.read() if counts.exists() else None
     windowed("daily_event_counts", "metric_date", events_lo, lambda: gold.daily_event_counts(
         t["event_log"], d, (d - events_lo).days, stored))
     windowed("daily_user_counts", "metric_date", gold_lo, lambda: gold.daily_user_counts(
@@ -140,10 +153,18 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
                                                                   t["cohort_base"]))
         full("revenue_by_cohort", lambda: cohorts.revenue_by_cohort(raw["order_periods"],
                                                                     t["cohort_base"]))
+    if dictionary_files:
+        loaded = {src: load_dictionaries(spark, paths) for src, paths in dictionary_files.items()}
+        dictionaries = {**loaded, **(dictionaries or {})}
     for src, dictionary in (dictionaries or {}).items():
         if f"text_{src}" in raw:
-            full(f"{src}_categories", lambda src=src, dic=dictionary: text.categorize_text(
-                raw[f"text_{src}"], dic, text.CATEGORY_TYPES.get(src, src)))
+            name = f"{src}_categories"
+            t[name] = text.categorize_into(window_table(spark, f"{database}.{name}"), raw[f"text_{src}"], dictionary,
+                                           text.CATEGORY_TYPES.get(src, src), text.DELETE_FLAGS.get(src, True))
+    if plan_sheet is not None:
+        rows, rejects = sheets.parse_cells(plan_sheet, plan_sheet_schema, row=plan_sheet_row)
+        full("plan_master", lambda: rows)
+        full("plan_master_rejects", lambda: rejects)
     if validate:
         for table, rules in VALIDATION_RULES.items():
             quality.validate(t[table], table, rules, now or as_of_ts)

@@ -1,14 +1,12 @@
-"""Table writers (R16-R18). Tables live in the session catalog."""
+"""Table writers (R16-R18): catalog tables, and versioned tables for windows (see ``versions``)."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tally.functions.time import as_date, date_lit
+from tally.sinks.versions import VersionedTable
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
@@ -36,39 +34,15 @@ def write_table(df: DataFrame, name: str, mode: str = "append",
     return True
 
 
-def replace_window_table(spark: SparkSession, name: str, new: DataFrame, date_col: str,
-                         lower: str | dt.date) -> None:
-    """R16 at rest on a table partitioned by ``date_col``.
+def window_table(spark: SparkSession, name: str) -> VersionedTable:
+    """The versioned table ``name`` (``database.table``) in the warehouse."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return VersionedTable(spark, f"{root}/{name.replace('.', '/')}.versions")
 
-    Partitions of the window present in ``new`` are overwritten (dynamic
-    partition overwrite); window partitions absent from ``new`` are dropped
-    explicitly, since a dynamic overwrite leaves them. Partitions before
-    ``lower`` and the NULL-date partition are untouched. The partition lists
-    are metadata (one entry per day), not rows.
-    """
-    lo = as_date(lower)
-    # computed once for the write and for the list of its days
-    new = new.filter(F.col(date_col) >= date_lit(lo)).persist(StorageLevel.DISK_ONLY_2)
-    if not spark.catalog.tableExists(name):
-        new.write.partitionBy(date_col).saveAsTable(name)
-        new.unpersist()
-        return
-    # write first (dynamic overwrite of the partitions present in ``new``), then
-    # drop the window's partitions that got no new rows: a failure in between
-    # leaves old rows, never a gap, and a rerun repairs either way (idempotent)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        new.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    present = {r[0] for r in new.select(date_col).distinct().collect()}
-    new.unpersist()
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        value = row[0].split("=", 1)[1]
-        if value == "__HIVE_DEFAULT_PARTITION__":
-            continue
-        day = as_date(value)
-        if day >= lo and day not in present:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION "
-                      f"({date_col} = DATE'{day.isoformat()}')")
+
+def replace_window_table(spark: SparkSession, name: str, new: DataFrame, date_col: str,
+                         lower: str | dt.date) -> VersionedTable:
+    """R16 at rest: one commit replaces the window's rows, see ``VersionedTable.replace_window``."""
+    table = window_table(spark, name)
+    table.replace_window(new, date_col, lower)
+    return table

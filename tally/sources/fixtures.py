@@ -27,10 +27,16 @@ _DIALECT = {
     "spark": {
         "ep": "unix_timestamp(CAST(ts AS TIMESTAMP))",
         "ts": "TIMESTAMP_NTZ",
+        "text": "STRING", "lb": "{{", "rb": "}}",
+        "agg1": "listagg(entry, ', ') WITHIN GROUP (ORDER BY category DESC)",
+        "agg2": "listagg('\"w' || CAST(p_partkey AS STRING) || '\"', ', ') WITHIN GROUP (ORDER BY p_partkey)",
     },
     "duckdb": {
         "ep": "CAST(floor(epoch(ts)) AS BIGINT)",
         "ts": "TIMESTAMP",
+        "text": "VARCHAR", "lb": "{", "rb": "}",
+        "agg1": "string_agg(entry, ', ' ORDER BY category DESC)",
+        "agg2": "string_agg('\"w' || CAST(p_partkey AS VARCHAR) || '\"', ', ' ORDER BY p_partkey)",
     },
 }
 
@@ -56,11 +62,11 @@ SELECT event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id END AS user_i
   event_type, props AS event_payload, $ep AS epoch_ts, ts AS created_at
 FROM $events WHERE event_type = 'click'""", ("events",)),
     "billing_transactions": ("""
-SELECT user_id, event_id AS reference_event_id, event_id % 40 AS plan_id,
+SELECT user_id, event_id AS reference_event_id, event_id % (SELECT count(*) FROM $part) AS plan_id,
   CAST(round(value * 100) AS BIGINT) AS amount_cents,
   CASE WHEN event_id % 3 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
   'completed' AS transaction_status
-FROM $events WHERE event_type IN ('signup', 'purchase')""", ("events",)),
+FROM $events WHERE event_type IN ('signup', 'purchase')""", ("events", "part")),
     "plans": ("""
 SELECT p_partkey AS plan_id, p_name AS plan_name,
   CASE p_type WHEN 'ECONOMY' THEN 'free' WHEN 'STANDARD' THEN 'standard'
@@ -70,20 +76,20 @@ SELECT p_partkey AS plan_id, p_name AS plan_name,
   CASE WHEN p_partkey % 17 = 3 THEN $ts '2023-12-01 00:00:00' END AS deleted_at,
   $ts '2023-01-01 00:00:00' AS created_at,
   $ts '2023-06-01 00:00:00' AS updated_at
-FROM $part WHERE p_partkey < 40""", ("part",)),
+FROM $part""", ("part",)),
     "plan_features": ("""
-SELECT p_partkey AS plan_id, 'sso' AS feature_key FROM $part WHERE p_partkey < 40 AND p_size % 2 = 0
-UNION ALL SELECT p_partkey, 'api_access' FROM $part WHERE p_partkey < 40 AND p_size % 3 = 0
-UNION ALL SELECT p_partkey, 'priority_support' FROM $part WHERE p_partkey < 40 AND p_size % 5 = 0""",
+SELECT p_partkey AS plan_id, 'sso' AS feature_key FROM $part WHERE p_size % 2 = 0
+UNION ALL SELECT p_partkey, 'api_access' FROM $part WHERE p_size % 3 = 0
+UNION ALL SELECT p_partkey, 'priority_support' FROM $part WHERE p_size % 5 = 0""",
                       ("part",)),
     "plan_pricing": ("""
 SELECT p_partkey AS plan_id, 'month' AS billing_interval,
   CAST(round(p_retailprice * 100) AS BIGINT) AS price_cents, 'USD' AS currency,
   CASE WHEN p_size % 2 = 0 THEN 14 END AS trial_days,
   CASE WHEN p_partkey % 7 = 0 THEN $ts '2023-07-01 00:00:00' END AS effective_end
-FROM $part WHERE p_partkey < 36
+FROM $part WHERE p_size > 3
 UNION ALL SELECT p_partkey, 'year', CAST(round(p_retailprice * 1000) AS BIGINT), 'USD', NULL, NULL
-FROM $part WHERE p_partkey < 30""", ("part",)),
+FROM $part WHERE p_size > 8""", ("part",)),
     "invoices": ("""
 SELECT o_orderkey AS invoice_id, o_custkey AS user_id, $shift AS invoice_date,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE CAST(round(o_totalprice) AS BIGINT) END AS tax_cents,
@@ -104,18 +110,45 @@ FROM $lineitem""", ("lineitem",)),
 SELECT r_regionkey AS payment_method_id, lower(r_name) AS method_type FROM $region""",
                         ("region",)),
     "order_periods": ("""
-SELECT o_custkey AS user_id, o_orderkey % 40 AS plan_id, o_orderdate AS period_start,
+SELECT o_custkey AS user_id, (o_custkey * 7 + o_orderkey % 3) % (SELECT count(*) FROM $part) AS plan_id, o_orderdate AS period_start,
   o_orderdate + INTERVAL 30 DAYS AS period_end, CAST(round(o_totalprice) AS BIGINT) AS mrr_cents
+FROM $orders""", ("orders", "part")),
+    # whole months, so that a user's periods miss, meet, branch and have no length at all
+    "order_links": ("""
+SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderpriority = '1-URGENT' AS is_first,
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start,
+  CAST(CASE o_orderkey % 4 WHEN 0 THEN date_trunc('month', o_orderdate)
+       WHEN 1 THEN date_trunc('month', o_orderdate) + INTERVAL 2 MONTH
+       ELSE date_trunc('month', o_orderdate) + INTERVAL 1 MONTH END AS DATE) AS period_end
 FROM $orders""", ("orders",)),
+    # one JSON object per hundred parts, of the form that dictionary files have; types recur in other files
+    "dictionary_files": ("""
+SELECT file_no, '$lb' || $agg1 || '$rb' AS value FROM (
+  SELECT file_no, category, '"' || category || '": [' || $agg2 || ']' AS entry FROM (
+    SELECT CAST(floor(p_partkey / 100) AS BIGINT) AS file_no, p_partkey,
+      lower(p_type) || '-' || CAST(p_size % 20 AS $text) AS category FROM $part) AS p
+  GROUP BY file_no, category) AS e
+GROUP BY file_no""", ("part",)),
+    # every cell a string, some of them not of the column's type
+    "plan_sheet": ("""
+SELECT p_partkey AS sheet_row, CASE WHEN p_partkey % 101 = 7 THEN 'P-' || CAST(p_partkey AS $text) ELSE ' ' || CAST(p_partkey AS $text) END AS plan_id,
+  CASE WHEN p_partkey % 13 = 0 THEN '  ' ELSE p_name END AS plan_name,
+  CASE WHEN p_partkey % 17 = 0 THEN 'many' WHEN p_partkey % 19 = 0 THEN '' ELSE CAST(p_size AS $text) END AS max_seats,
+  CASE WHEN p_partkey % 23 = 0 THEN 'n/a' ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS $text) END AS monthly_price,
+  CASE p_partkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS is_active,
+  CASE WHEN p_partkey % 29 = 0 THEN '2024-13-01' ELSE '2024-01-' || substr('0' || CAST(p_partkey % 28 + 1 AS $text), -2) END AS valid_from
+FROM $part""", ("part",)),
+    "text_documents": ("SELECT doc_id AS id, text AS title FROM $documents", ("documents",)),
+    "text_turns": ("SELECT conv_id * 1000 + turn AS id, text AS title FROM $conversations", ("conversations",)),
     "text_reviews": ("""
-SELECT doc_id AS id, text AS title FROM $documents WHERE lang = 'en'""", ("documents",)),
+SELECT doc_id AS id, text AS title FROM $documents WHERE lang IN ('en', 'fr')""", ("documents",)),
     "text_faq": ("""
-SELECT doc_id AS id, text AS title FROM $documents WHERE lang = 'de'""", ("documents",)),
+SELECT doc_id AS id, text AS title FROM $documents WHERE lang IS NULL OR lang NOT IN ('en', 'fr')""", ("documents",)),
     "text_tickets": ("""
 SELECT conv_id * 1000 + turn AS id, text AS title FROM $conversations WHERE role = 'user'""",
                      ("conversations",)),
     "text_feedback": ("""
-SELECT conv_id * 1000 + turn AS id, text AS title FROM $conversations WHERE role = 'assistant'""",
+SELECT conv_id * 1000 + turn AS id, text AS title FROM $conversations WHERE role IS NULL OR role <> 'user'""",
                       ("conversations",)),
 }
 

@@ -174,14 +174,13 @@ def test_replace_window_idempotent(df):
 
 def test_replace_window_table_clears_stale_partitions(spark, df):
     name = "tally_test_window"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     replace_window_table(spark, name, df([(1, D(2024, 1, 20)), (2, D(2024, 1, 21)),
                                           (3, D(2024, 1, 22))], "v long, metric_date date"),
                          "metric_date", "2024-01-01")
     new = df([(20, D(2024, 1, 21))], "v long, metric_date date")
     for _ in range(2):
-        replace_window_table(spark, name, new, "metric_date", "2024-01-21")
-        got = sorted((r["metric_date"], r["v"]) for r in spark.table(name).collect())
+        table = replace_window_table(spark, name, new, "metric_date", "2024-01-21")
+        got = sorted((r["metric_date"], r["v"]) for r in table.read().collect())
         assert got == [(D(2024, 1, 20), 1), (D(2024, 1, 21), 20)]
 
 
@@ -213,7 +212,7 @@ def test_load_sheet_csv(spark, tmp_path):
 def test_event_log_lookback_reaches_scan(spark):
     from tally.catalog import Pipeline
     p = Pipeline(spark, "/root/testdata/sf0.001")
-    plan = p.indexed_event_log._jdf.queryExecution().executedPlan().toString()
+    plan = p.event_log._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan or "DataFilters" in plan
     assert "unix_timestamp" in plan
 
