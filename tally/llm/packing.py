@@ -14,8 +14,11 @@ cut into as many windows as they need. Empty table: empty result.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,66 +40,69 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Fixed value: the vocabulary's own split of a text into pieces.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LOT_WORDS = 2_000
+#: Bytes of text worked on at once, and words that a worker remembers.
+SLICE_BYTES = 1 << 22
+KNOWN_WORDS = 1_500_000
 
 
 def word_encoder(tokenizer_file: str) -> Callable[[list[str]], list[list[int]]]:
     """Ids of words that hold no ASCII white space. The vocabulary drops white space and never
     merges across it, so a text's ids are its words' ids in a row.
 
-    Words are encoded many to a call, joined by blanks, which costs a third of
-    single calls. A piece's last id ends in ``</w>``, so ids are dealt back by
-    counting pieces per word; a lot whose counts differ is encoded word by word.
+    Words are normalised and split into the vocabulary's pieces here, and all pieces of
+    many words go to the tokenizer in one call, joined by blanks. A piece's last id ends in
+    ``</w>``, so ids are dealt back by counting pieces per word; a lot whose counts
+    differ is encoded word by word, by the vocabulary's own steps.
     """
     import unicodedata
 
     import public_tokenizers
     import regex
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer_file))
-    piece = regex.compile(PIECE)
+    shaped = Tokenizer.from_file(public_tokenizers.path(tokenizer_file))
+    shaped.normalizer = normalizers.Sequence([])
+    shaped.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
+    pieces_of = regex.compile(PIECE).findall
     ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
     ends[[i for w, i in tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
 
-    def singly(words: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
     def lot(words: list[str]) -> list[list[int]]:
-        joined = " ".join(words)
-        if "<|" in joined or not joined:
-            return singly(words)
-        ids = tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids
-        shaped = unicodedata.normalize("NFC", joined).lower().split(" ")
-        n_pieces = np.array([1 if w.isalpha() else len(piece.findall(w)) for w in shaped])
-        last = np.flatnonzero(ends[ids])
-        if len(shaped) != len(words) or n_pieces.sum() != len(last) or n_pieces.min() < 1 or last[-1] != len(ids) - 1:
-            return singly(words)
-        cuts = np.concatenate([[0], last[np.cumsum(n_pieces) - 1] + 1]).tolist()
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        forms = unicodedata.normalize("NFC", " ".join(words)).lower().split(" ")
+        parts = [(w,) if w.isalpha() else pieces_of(w) for w in forms]
+        counts = np.array([len(x) for x in parts])
+        joined = " ".join([y for x in parts for y in x])
+        if len(forms) == len(words) and counts.min() > 0 and "<|" not in joined:
+            ids = shaped.encode_batch_fast([joined], add_special_tokens=False)[0].ids
+            last = np.flatnonzero(ends[ids])
+            if counts.sum() == len(last) and last[-1] == len(ids) - 1:
+                cuts = np.concatenate([[0], last[np.cumsum(counts) - 1] + 1]).tolist()
+                return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     return lambda words: [x for k in range(0, len(words), LOT_WORDS) for x in lot(words[k:k + LOT_WORDS])]
 
 
 class TokenStream:
-    """Texts to ids, a batch at a time; each distinct word is encoded once per task while the
-    table of known words is below ``max_words`` (then it starts anew)."""
+    """Texts to ids; each distinct word is encoded once while the table of known words is
+    below ``max_words`` (then it starts anew). Words are known by 64-bit hash."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], max_words: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], max_words: int = KNOWN_WORDS):
         self.encode, self.max_words = encode, max_words
         self.reset()
 
     def reset(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.begin = np.zeros(1, np.int64)
+        self.begin = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
-        self.at = np.zeros(0, np.int64)
 
     def __call__(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets per text), without end ids."""
         raw, offsets = utf8_buffer(col)
         start, end, first = word_spans(raw, offsets)
-        keys = span_hashes(raw, start, end)
-        distinct, sample, back = np.unique(keys, return_index=True, return_inverse=True)
+        distinct, sample, back = np.unique(span_hashes(raw, start, end), return_index=True, return_inverse=True)
         if len(self.keys) > self.max_words:
             self.reset()
         place = np.searchsorted(self.keys, distinct)
@@ -105,45 +111,64 @@ class TokenStream:
         new = np.flatnonzero(~known)
         if len(new):
             whole = raw.tobytes()
-            got = self.encode([whole[start[i]:end[i]].decode("utf-8", "replace") for i in sample[new]])
-            lengths = np.array([len(x) for x in got], np.int64)
-            fresh = np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum()))
-            n = len(self.begin) - 1
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lengths)])
+            got = self.encode([whole[a:b].decode("utf-8", "replace") for a, b in zip(start[sample[new]].tolist(), end[sample[new]].tolist())])
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            fresh = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
+            self.begin = np.insert(self.begin, place[new], len(self.ids) + np.cumsum(lengths) - lengths)
+            self.count = np.insert(self.count, place[new], lengths)
+            self.keys = np.insert(self.keys, place[new], distinct[new])
             self.ids = np.concatenate([self.ids, fresh])
-            keys_all = np.concatenate([self.keys, distinct[new]])
-            at_all = np.concatenate([self.at, n + np.arange(len(new))])
-            order = np.argsort(keys_all)
-            self.keys, self.at = keys_all[order], at_all[order]
             place = np.searchsorted(self.keys, distinct)
-        entry = self.at[place][back]
-        n_ids = (self.begin[1:] - self.begin[:-1])[entry]
+        n_ids = self.count[place][back].astype(np.int64)
         ends = np.cumsum(n_ids)
         total = int(ends[-1]) if len(ends) else 0
         # id k of the output is id (k - first of its word) of its word's entry
-        source = np.repeat(self.begin[entry] - (ends - n_ids), n_ids) + np.arange(total)
+        source = np.repeat(self.begin[place][back] - (ends - n_ids), n_ids) + np.arange(total)
         return self.ids[source], np.concatenate([[0], ends])[first]
 
 
+def worker_stream(tokenizer_file: str) -> TokenStream:
+    """The token stream of this Python worker: Spark hands it many tasks, which share the words known."""
+    home = sys.modules.setdefault("_tally_token_streams", types.ModuleType("_tally_token_streams"))
+    if tokenizer_file not in home.__dict__:
+        home.__dict__[tokenizer_file] = TokenStream(word_encoder(tokenizer_file))
+    return home.__dict__[tokenizer_file]
+
+
 def pieces(docs: DataFrame, tokenizer_file: str = TOKENIZER_FILE, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Cut every document's ids (with the end id) into windows and a remainder (PIECES columns)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = TokenStream(word_encoder(tokenizer_file))
+        stream = worker_stream(tokenizer_file)
         for batch in batches:
-            ids, offsets = stream(batch.column("text"))
-            doc_ids = batch.column("doc_id").to_pylist()
-            out: list[tuple] = []
-            for i, doc in enumerate(doc_ids):
-                own = np.append(ids[offsets[i]:offsets[i + 1]], np.uint32(end_id)).astype("<u4")
-                n = len(own)
-                out.extend((doc, s, min(window, n - s), zlib.crc32(own[s:s + window].tobytes()), n) for s in range(0, n, window))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 5,
-                                             names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            for lo, n in slices(batch.column("text")):
+                ids, offsets = stream(batch.column("text").slice(lo, n))
+                whole = np.insert(ids, offsets[1:], np.uint32(end_id)).astype("<u4")
+                size = np.diff(offsets) + 1
+                per = -(-size // window)
+                doc = np.repeat(np.arange(n), per)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)) * window
+                length = np.minimum(window, size[doc] - start)
+                at = (offsets[:-1] + np.arange(n))[doc] + start
+                data = memoryview(whole.tobytes())
+                crc = [zlib.crc32(data[a:b]) for a, b in zip((4 * at).tolist(), (4 * (at + length)).tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n).cast(pa.int64()).take(pa.array(doc)),
+                                                  *[pa.array(c, pa.int64()) for c in (start, length, crc, size[doc])]],
+                                                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
+def slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of whole texts of about ``most`` bytes."""
+    _, offsets = utf8_buffer(col)
+    lo = 0
+    while lo < len(col):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
+        yield lo, hi - lo
+        lo = hi
+
+
 def fill(counts: dict[int, int], room: int) -> list[int]:
     """Lengths from the multiset ``counts`` whose sum is as near to ``room`` as any, at most it.
 
