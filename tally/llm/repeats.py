@@ -329,7 +329,7 @@ def hashed_spans(texts: DataFrame, length: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeat."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("row_key", F.xxhash64("doc_id", "text"))
     long_rows = rows.filter(F.octet_length("text") >= length)
@@ -354,7 +354,7 @@ def repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     hot = texts.filter("size(hot) > 0").select("row_key", "text", F.col("hot").alias("wanted"))
     spans = spans.union(hashed_spans(hot, length))
     per_row = spans.groupBy("row_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return strip(rows.join(per_row, "row_key", "left"))
+    return strip(rows.join(per_row, "row_key", "left")).withColumn("has_repeat", F.col("n_removed") > 0)
 
 
 def strip(rows: DataFrame) -> DataFrame:
