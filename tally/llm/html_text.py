@@ -61,7 +61,10 @@ BAD_TOKENS = frozenset("ad ads advert advertisement adsense banner sponsor spons
 COMMENT_TOKENS = frozenset("comment comments reply replies respond disqus discussion thread".split())
 GOOD_TAGS, BAD_TAGS = frozenset("article main".split()), frozenset("nav aside footer header form menu dialog search".split())
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+# a tag whose quotes do not close ends at the next ">"
+_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>")
+_START = re.compile(r"<(?:!|\?|/?[a-zA-Z])")
 _ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _TOKEN = re.compile(r"[a-z]+")
@@ -80,12 +83,27 @@ class Node:
 def parse(page: str) -> Node:
     """Lenient tree of a page."""
     root = Node("#root", "", None)
-    at, pos, n = root, 0, len(page)
+    at, pos, n, last = root, 0, len(page), page.rfind(">")
+    opened: dict[str, int] = {}  # open elements by tag, so that a stray end tag costs no walk
+
+    def leave(node: Node, at: Node) -> Node:
+        """Close ``node`` and all open below it."""
+        while True:
+            opened[at.tag] -= 1
+            if at is node:
+                return at.parent
+            at = at.parent
+
     while pos < n:
-        m = _MARK.search(page, pos)
+        m, look = None, pos
+        while m is None and (s := _START.search(page, look)):
+            m = _MARK.match(page, s.start()) or (_LOOSE.match(page, s.start()) if s.start() < last else None)
+            if m is None and s.start() > last:
+                break
+            look = s.end()
         text = page[pos:m.start()] if m else page[pos:]
         if at.tag == "head" and text.strip():
-            at = at.parent
+            at = leave(at, at)
         if text:
             at.items.append(text)
         if not m:
@@ -95,28 +113,28 @@ def parse(page: str) -> Node:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            x = at
-            while x is not root and x.tag != tag:
-                x = x.parent
-            if x is not root:
-                at = x.parent
+            if opened.get(tag):
+                x = at
+                while x.tag != tag:
+                    x = x.parent
+                at = leave(x, at)
             continue
         # like text above, an element that cannot stand in a head ends an open one
         if at.tag == "head" and tag not in IN_HEAD and tag != "head":
-            at = at.parent
+            at = leave(at, at)
         if tag in CLOSES_P:
             x = at
             while x is not root and x.tag not in ("p", "td", "li", "div", "article", "body", "table"):
                 x = x.parent
             if x.tag == "p":
-                at = x.parent
+                at = leave(x, at)
         if tag in SIBLING_END:
             ends, scope = SIBLING_END[tag]
             x = at
             while x is not root and x.tag not in scope and x.tag not in ends.split():
                 x = x.parent
             if x.tag in ends.split():
-                at = x.parent
+                at = leave(x, at)
         node = Node(tag, m.group(3), at)
         at.items.append(node)
         if tag in VOID or m.group(3).endswith("/"):
@@ -125,6 +143,7 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
             pos = end.end() if end else n
             continue
+        opened[tag] = opened.get(tag, 0) + 1
         at = node
     return root
 
