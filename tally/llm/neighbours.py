@@ -48,12 +48,16 @@ def usable(embeddings: DataFrame, ident: str, vector: str) -> DataFrame:
     """(id, vec as array<double>) of the rows that take part."""
     vec = F.col(f"`{vector}`").cast("array<double>")
     df = embeddings.select(F.col(f"`{ident}`").cast("long").alias("id"), vec.alias("vec"))
+    most = F.array_max(F.transform("vec", F.abs))
+    # powers of two, so no digit changes and no cosine; squares of the components then neither vanish nor overflow
+    factor = F.when(most < 1e-150, F.lit(2.0 ** 600)).when(most > 1e150, F.lit(2.0 ** -600)).otherwise(F.lit(1.0))
     finite = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
+    return df.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0)).select(
+        "id", F.transform("vec", lambda x: x * factor).alias("vec"))
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
-    """One row per distinct vector: node (a hash of the components) and its unit vector."""
+    """One row per distinct vector: node (its smallest id) and its unit vector."""
     unit = F.expr("transform(vec, x -> cast(x / sqrt(aggregate(vec, 0D, (a, y) -> a + y * y)) as float))")
     return rows.groupBy("node").agg(F.first("vec").alias("vec")).select("node", unit.alias("unit"))
 
@@ -163,15 +167,18 @@ def walk(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
 def nearest(embeddings: DataFrame, queries: Column, k: int = 5, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest found for every row that ``queries`` (over ``ident``) selects."""
     all_rows = usable(embeddings, ident, vector)
-    rows = staged(all_rows.withColumn("node", F.xxhash64("vec")), "vectors")
+    hashed = staged(all_rows.withColumn("h", F.xxhash64("vec")), "hashed")
+    # a node is named by its smallest id, so that equal scores prefer small ids in every cut
+    named = hashed.groupBy("h").agg(F.min("id").alias("node"))
+    rows = staged(hashed.join(named, "h").select("id", "vec", "node"), "vectors")
     lengths = rows.groupBy(F.size("vec").alias("dim")).count().orderBy(F.col("count").desc(), "dim").limit(1).select("dim")
     rows = rows.join(F.broadcast(lengths), F.size("vec") == F.col("dim"), "left_semi")
     nodes = staged(nodes_of(rows), "nodes")
     graph = build(nodes)
     wanted = rows.withColumnRenamed("id", ident).filter(queries).withColumnRenamed(ident, "id")
     asked = nodes.join(wanted.select("node").distinct(), "node", "left_semi")
-    found = best(walk(asked, graph, nodes).select("q", "v", "s"), "q", "s", 2 * k + 2, "v").unionByName(
-        asked.select(F.col("node").alias("q"), F.col("node").alias("v"), F.lit(1.0).alias("s"))).select("q", "v").distinct()
+    # the whole beam is ranked exactly: its order is by single-precision scores
+    found = walk(asked, graph, nodes).select("q", "v").union(asked.select("node", "node")).distinct()
     # the smallest ids of each vector, first within salts, so that copies never meet in one task
     salted = W.partitionBy("node", F.pmod("id", F.lit(64))).orderBy("id")
     members = rows.withColumn("_rank", F.row_number().over(salted)).filter(F.col("_rank") <= k + 1).drop("_rank")
