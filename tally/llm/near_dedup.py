@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tally.llm.graph import components
-from tally.llm.stage import staged
+from tally.llm.stage import carried, carried_column, staged
 from tally.llm.textual import LOWER, U, binary_column, mix, shingle_hashes, utf8_buffer, word_hashes
 
 #: Parameters: MinHash samples, chance to miss a pair, sketch bits, block size.
@@ -253,9 +253,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group of near duplicates, all columns.
+    """One row of each group of near duplicates, all columns: the smallest doc_id's (null last).
 
-    A null id is kept: nothing tells it from others.
+    Rows are told apart by a number of their own, so repeated rows, null ids and ids that
+    two texts share are groups like any other; rows without words are all kept.
     """
-    drop = near_duplicates(docs, width, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("_gone"), "left_anti")
+    numbered = staged(carried(docs).select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
+    doc_id = carried_column(docs, "doc_id").cast("long")
+    rows = numbered.select(F.col("_row").alias("doc_id"), carried_column(docs, "text").alias("text"))
+    found = near_duplicates(rows, width, percent).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    named = staged(numbered.select("_row", doc_id.alias("_id")).join(found, "_row"), "groups")
+    keep = named.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_best"))
+    return numbered.join(keep.select(F.col("_best._row").alias("_row")), "_row", "left_semi").select(
+        *[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])
