@@ -8,7 +8,6 @@ Layout
                prefix aggregates, period explode, merges, window replace)
 ``plans``      the table jobs: bronze, silver, gold, cohorts, derived, text, quality
 ``sinks``      table writers (full replace, append/fail, window replace at rest)
-``streaming``  notes: the source has no streams (daily re-runs + window replace)
 """
 
 from tally.session import get_spark, utc_session
