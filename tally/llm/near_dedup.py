@@ -255,14 +255,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near duplicates, all columns: the smallest doc_id's (null last).
 
-    Rows are told apart by a number of their own, so repeated rows, null ids and ids that
-    two texts share are groups like any other; rows without words are all kept.
+    Rows are told apart by their id and whole text, so repeated rows, null ids and ids that
+    two texts share are groups like any other. Of rows equal in both one stays; a text
+    without words is linked with no other.
     """
-    numbered = staged(carried(docs).select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
-    doc_id = carried_column(docs, "doc_id").cast("long")
-    rows = numbered.select(F.col("_row").alias("doc_id"), carried_column(docs, "text").alias("text"))
-    found = near_duplicates(rows, width, percent).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    named = staged(numbered.select("_row", doc_id.alias("_id")).join(found, "_row"), "groups")
-    keep = named.groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("_best"))
-    return numbered.join(keep.select(F.col("_best._row").alias("_row")), "_row", "left_semi").select(
-        *[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])
+    doc_id, text = carried_column(docs, "doc_id").cast("long"), carried_column(docs, "text")
+    keyed = carried(docs).select("*", F.xxhash64(doc_id, text).alias("_row"))
+    keys = staged(keyed.select("_row", doc_id.alias("_id"), F.xxhash64(F.lit(1), text, doc_id).alias("_check"))
+                  .groupBy("_row", "_id", "_check").agg(F.count(F.lit(1)).alias("_copies")), "row-keys")
+    if not keys.groupBy("_row").count().filter("count > 1").isEmpty():
+        # two rows under one key: number the rows instead, which takes a copy of the texts
+        keyed = staged(carried(docs).select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
+        keys = keyed.select("_row", doc_id.alias("_id"), F.lit(1).alias("_copies"))
+    rows = keyed.select(F.col("_row").alias("doc_id"), text.alias("text"))
+    found = near_duplicates(rows, width, percent).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
+    keep = keys.join(found, "_row").groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row", "_copies")).alias("_best"))
+    keep = staged(keep.select("_best._row", "_best._copies"), "kept-rows")
+    out = keyed.join(keep.filter("_copies = 1").select("_row"), "_row", "left_semi")
+    repeated = keep.filter("_copies > 1").select("_row")
+    if not repeated.isEmpty():
+        out = out.unionByName(keyed.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
+    return out.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])
