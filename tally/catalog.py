@@ -173,6 +173,8 @@ QUERIES: dict[str, Query] = {
     "dod_change_lag": _q(ops.dod_lag),
     "dod_change_lead": _q(ops.dod_lead),
     "tier_users": _q(ops.tier_users),
+    "weekly_users_from_days": _q(ops.weekly_from_days),
+    "tier_users_from_days": _q(ops.tiers_from_days),
     "merge_metrics": _q(ops.merged_daily),
     "replace_window": _q(ops.window_replace),
     # data-quality rules

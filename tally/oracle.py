@@ -612,6 +612,16 @@ SELECT CAST(date_trunc('month', o.period_start) AS DATE) AS metric_month,
   COUNT(DISTINCT CASE WHEN p.plan_tier = 'enterprise' THEN o.user_id END) AS enterprise_users
 FROM order_periods o LEFT JOIN plans p ON o.plan_id = p.plan_id
 GROUP BY 1""", [], ("order_periods", "plans")),
+    "weekly_users_from_days": query("""
+SELECT week_start, total_active_users, power_users, regular_active_users, low_activity_users
+FROM active_users_weekly""", ["active_users_weekly"]),
+    "tier_users_from_days": query("""
+SELECT date_trunc('month', period_start)::DATE AS metric_month,
+  count(DISTINCT user_id) FILTER (plan_tier = 'free') AS free_users,
+  count(DISTINCT user_id) FILTER (plan_tier = 'standard') AS standard_users,
+  count(DISTINCT user_id) FILTER (plan_tier = 'premium') AS premium_users,
+  count(DISTINCT user_id) FILTER (plan_tier = 'enterprise') AS enterprise_users
+FROM order_periods LEFT JOIN plans USING (plan_id) GROUP BY 1""", [], ("order_periods", "plans")),
     "merge_metrics": query("""
 WITH a AS (SELECT invoice_date AS metric_date, COUNT(*) AS invoices
            FROM payment_billing_all GROUP BY 1),

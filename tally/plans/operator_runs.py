@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tally.operators import bitmaps
 from tally.operators.activity import bucket_count, first_last_by
 from tally.operators.category import dominant_category
 from tally.operators.chain import walk_chain, walk_links
@@ -24,11 +25,11 @@ from tally.operators.pivot import pivot_flags, pivot_max
 from tally.operators.replace import replace_window
 from tally.operators.transitions import transitions
 from tally.operators.union import union_sources
-from tally.functions.time import as_timestamp, ts_lit
+from tally.functions.time import as_date, as_timestamp, date_lit, ts_lit
 from tally.plans import derived, gold, quality, silver, text
 from tally.plans.history import PeriodHistory
 from tally.plans.pipeline import PLAN_SHEET_SCHEMA
-from tally.session import checkpoint_dir
+from tally.session import checkpoint_dir, materialize
 from tally.sinks.versions import VersionedTable
 from tally.sources.dictionaries import merge_dictionaries
 from tally.sources.sheets import parse_cells
@@ -185,6 +186,25 @@ def tier_users(p) -> DataFrame:
                              {t: f"{t}_users" for t in gold.TIERS})
 
 
+def weekly_from_days(p) -> DataFrame:
+    """J6's user counts from bitmaps kept per day and class, without going back to the activity rows."""
+    days = materialize(bitmaps.build(p.activity, ["activity_date", "activity_status"], "user_id"), "daily-bitmaps")
+    lo = as_date(p.as_of) - dt.timedelta(days=28)
+    weeks = days.withColumn("week_start", F.trunc("activity_date", "week")).filter(
+        F.col("week_start") >= F.trunc(date_lit(lo), "week"))
+    return bitmaps.count_ids_by(weeks, ["week_start"], "activity_status", silver.ACTIVITY_USERS, "total_active_users")
+
+
+def tiers_from_days(p) -> DataFrame:
+    """R14's monthly users by tier from bitmaps kept per day and tier."""
+    plans = p.raw["plans"].select("plan_id", F.coalesce("plan_tier", F.lit("none")).alias("plan_tier"))
+    per = p.raw["order_periods"].join(plans, "plan_id", "left").select(
+        "user_id", F.to_date("period_start").alias("day"), F.coalesce("plan_tier", F.lit("none")).alias("plan_tier"))
+    days = materialize(bitmaps.build(per, ["day", "plan_tier"], "user_id"), "daily-bitmaps")
+    return bitmaps.count_ids_by(days.withColumn("metric_month", F.trunc("day", "month")), ["metric_month"], "plan_tier",
+                                {t: f"{t}_users" for t in gold.TIERS})
+
+
 def merged_daily(p) -> DataFrame:
     started = p.raw["order_periods"].groupBy(
         F.to_date("period_start").alias("metric_date")).agg(

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.functions.time import as_date
+from tally.operators import bitmaps
 from tally.plans import bronze, cohorts, derived, gold, quality, silver, text
 from tally.session import materialize
 from tally.plans.history import PeriodHistory
@@ -120,6 +121,8 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], as_of: str | dt.d
         t["subscription_staging"], t["plan_info"], d, as_of_ts, plans=raw["plans"]))
     windowed("user_activity", "activity_date", activity_lo, lambda: silver.user_activity(
         t["event_log"], d, (d - activity_lo).days))
+    windowed("daily_user_bitmaps", "activity_date", activity_lo, lambda: bitmaps.build(
+        t["user_activity"], ["activity_date", "activity_status"], "user_id"))
     windowed("active_users_weekly", "week_start", week_lo, lambda: silver.active_users_weekly(
         t["user_activity"], d))
     windowed("payment_billing", "invoice_date", d - dt.timedelta(days=billing_lookback),

@@ -114,6 +114,11 @@ def subscription_periods(staging: DataFrame, plan_info_df: DataFrame, as_of: str
                             [Prefix("cumulative_revenue_cents", "sum", "mrr_cents")]).select(*PERIOD_COLUMNS)
 
 
+# Activity classes and the weekly columns that count their users.
+ACTIVITY_USERS = {"power_user": "power_users", "active": "regular_active_users",
+                  "low_activity": "low_activity_users"}
+
+
 def user_activity(event_log_df: DataFrame, as_of: str | dt.date, lookback_days: int = 7,
                   power: int = 10, active: int = 3) -> DataFrame:
     """One row per (user > 0, day): half-hour sessions, events, first / last
