@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame, functions as F
 #: Parameters: training pages, variants of each, trees, depth, rate, histogram bins.
 SAMPLE_PAGES = 400
 VARIANTS = 6
+#: Elements of a page that train, drawn at random from all of them; features and labels are computed over the whole page.
+SAMPLE_NODES = 400
 TREES, DEPTH, RATE, BINS = 40, 4, 0.25, 32
 
 # Element sorts of the markup language.
@@ -338,7 +340,8 @@ def variant(page: str, rng: random.Random) -> str:
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Forest:
     """Fit on landmark labels of sampled pages and their variants; labels and features are made
-    by tasks, and at most sample_pages * (1 + VARIANTS) small matrices reach the driver."""
+    by tasks. About sample_pages pages are chosen by a hash of the whole row, equal rows once, so reruns choose
+    alike; 1 + VARIANTS matrices of at most SAMPLE_NODES rows for each reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,17 +349,18 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Forest:
                 rng = random.Random(order)
                 rows, labels = [], []
                 for k in range(VARIANTS + 1):
-                    nodes = elements(parse(variant(page, rng) if k else page))[:400]
-                    rows.append(features(nodes))
-                    labels.append(landmark_labels(nodes))
+                    nodes = elements(parse(variant(page, rng) if k else page))
+                    some = sorted(rng.sample(range(len(nodes)), min(len(nodes), SAMPLE_NODES)))
+                    rows.append(features(nodes)[some])
+                    labels.append(landmark_labels(nodes)[some])
                 yield pa.RecordBatch.from_pylist([{"x": np.concatenate(rows).tobytes(), "y": np.concatenate(labels).tobytes(), "order": order}],
                                                  schema=pa.schema([("x", pa.binary()), ("y", pa.binary()), ("order", pa.int64())]))
 
     able = pages.filter(F.length("html") > 0)
     n = able.count()
     share = min(1.0, sample_pages / n) if n else 1.0
-    chosen = able.select("html", F.xxhash64("page_id", "url", F.lit(3)).alias("order")).filter(F.col("order") / 2.0**64 + 0.5 < share)
-    got = sorted(((r["order"], bytes(r["x"]), bytes(r["y"])) for r in chosen.mapInArrow(run, "x binary, y binary, order long").limit(2 * sample_pages).collect()))
+    chosen = able.select("html", F.xxhash64("page_id", "url", "html", F.lit(3)).alias("order")).filter(F.col("order") / 2.0**64 + 0.5 < share).dropDuplicates(["order"])
+    got = sorted(((r["order"], bytes(r["x"]), bytes(r["y"])) for r in chosen.mapInArrow(run, "x binary, y binary, order long").collect()))
     if not got:
         return Forest(edges=[np.zeros(0)] * N_FEATURES, base=1.0)
     x = np.concatenate([np.frombuffer(a, float).reshape(-1, N_FEATURES) for _, a, _ in got])
