@@ -136,7 +136,7 @@ def daily_revenue_counts(payment_billing_df: DataFrame, periods: DataFrame,
     Periods are clipped to the window and exploded into days (no range join);
     per-tier distinct users come from one row per (day, user) with tier flags.
     """
-    from tally.operators.periods import explode_days, merge_metrics
+    from tally.operators.periods import count_ids_by_day, merge_metrics, sum_by_day
 
     hi = as_date(as_of)
     lo = hi - dt.timedelta(days=lookback_days)
@@ -157,18 +157,11 @@ def daily_revenue_counts(payment_billing_df: DataFrame, periods: DataFrame,
                     F.sum(F.coalesce(F.col("net_revenue_cents"), zero))
                     .alias("net_revenue_cents")))
     live = (F.col("transition_type") != "churn") if point_in_time else F.col("is_active")
-    days = explode_days(periods.filter(live).select("user_id", "plan_tier", "mrr_cents",
-                                                    "period_start", "period_end"),
-                        "period_start", "period_end", lo, hi)
-    tier = F.col("plan_tier")
-    per_user = days.groupBy("metric_date", "user_id").agg(
-        F.sum("mrr_cents").alias("mrr_cents"),
-        *[F.max(tier == t).alias(f"is_{t}") for t in TIERS],
-        F.max(tier != "free").alias("is_paying"))
-    mrr = per_user.groupBy("metric_date").agg(
-        F.sum("mrr_cents").alias("mrr_cents"),
-        *[F.count_if(F.col(f"is_{t}")).alias(f"{t}_tier_users") for t in TIERS],
-        F.count_if(F.col("is_paying")).alias("paying_users"))
+    tier, per = F.col("plan_tier"), periods.filter(live)
+    sums = sum_by_day(per, "period_start", "period_end", {"mrr_cents": F.col("mrr_cents")}, lo, hi)
+    users = count_ids_by_day(per, "period_start", "period_end", "user_id",
+                             {**{f"{t}_tier_users": tier == t for t in TIERS}, "paying_users": tier != "free"}, lo, hi)
+    mrr = sums.join(users, "metric_date")
     m = merge_metrics(billing, mrr, "metric_date", fill=0)
     paying = F.col("paying_users")
     return m.select(
