@@ -2,13 +2,14 @@
 
 A distinct count per day says nothing of the count per week, so longer spans
 would have to be counted from the rows again. Here a day keeps, per block of
-32,768 ids, one bitmap with a bit for each id seen. Bitmaps of any days and
-classes merge by OR, and the set bits of the merged ones are the exact count.
-Building and merging are combined before the shuffle, and one key's blocks are
+64 ids, one word with a bit for each id seen. Words of any days and classes
+merge by OR, and the set bits of the merged ones are the exact count. Building
+and merging are combined before the shuffle by hash, and one key's blocks are
 rows of their own, so a hot day or class spreads over its blocks.
 
-A bitmap has 4,096 bytes however few ids it holds (empty stretches compress
-well at rest): number ids densely. NULL ids are not counted.
+A word is one row of fixed size, so bitmaps never take more rows than there are
+ids seen, however far apart these are, and up to 64 times fewer: number ids
+densely. NULL ids are not counted.
 """
 
 from __future__ import annotations
@@ -23,19 +24,19 @@ BLOCK, BITS = "id_block", "bits"
 
 def build(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """``(keys..., id_block, bits)``: the ids seen with each key."""
-    block = F.bitmap_bucket_number(F.col(id_col)).alias(BLOCK)
-    return df.filter(F.col(id_col).isNotNull()).groupBy(*keys, block).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(id_col))).alias(BITS))
+    ident = F.col(id_col).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), ident.bitwiseAND(F.lit(63)).cast("int"))
+    return df.filter(F.col(id_col).isNotNull()).groupBy(*keys, F.shiftright(ident, 6).alias(BLOCK)).agg(F.bit_or(bit).alias(BITS))
 
 
 def roll_up(bitmaps: DataFrame, keys: Sequence) -> DataFrame:
     """The bitmaps of coarser ``keys`` (columns or expressions): ids seen with any of the merged ones."""
-    return bitmaps.groupBy(*keys, BLOCK).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    return bitmaps.groupBy(*keys, BLOCK).agg(F.bit_or(BITS).alias(BITS))
 
 
 def count_ids(bitmaps: DataFrame, keys: Sequence[str], name: str = "ids") -> DataFrame:
     """``(keys..., name)``: distinct ids, from bitmaps that are merged by ``keys`` (see ``roll_up``)."""
-    return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count(BITS)).alias(name))
+    return bitmaps.groupBy(*keys).agg(F.sum(F.bit_count(BITS)).alias(name))
 
 
 def count_ids_by(bitmaps: DataFrame, keys: Sequence[str], col: str, values: Mapping[str, str],
@@ -44,9 +45,8 @@ def count_ids_by(bitmaps: DataFrame, keys: Sequence[str], col: str, values: Mapp
 
     Every id counts once per column, also where it was seen on many days or with many values.
     """
-    merged = roll_up(bitmaps, [*keys, col])
-    n = F.bitmap_count(BITS)
-    per_block = merged.groupBy(*keys, BLOCK).agg(
-        *[F.coalesce(F.sum(F.when(F.col(col) == v, n)), F.lit(0)).alias(name) for v, name in values.items()],
-        F.bitmap_count(F.bitmap_or_agg(BITS)).alias(total or "_tly_total"))
-    return per_block.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*([total] if total else []), *values.values()]])
+    words = bitmaps.groupBy(*keys, BLOCK).agg(
+        *[F.bit_or(F.when(F.col(col) == v, F.col(BITS))).alias(name) for v, name in values.items()],
+        F.bit_or(BITS).alias(total or "_tly_total"))
+    return words.groupBy(*keys).agg(*[F.coalesce(F.sum(F.bit_count(c)), F.lit(0)).alias(c)
+                                      for c in [*([total] if total else []), *values.values()]])

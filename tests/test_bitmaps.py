@@ -31,3 +31,10 @@ def test_rolled_up_bitmaps_equal_direct_counts(spark, df):
 def test_empty_table(spark, df):
     days = bitmaps.build(df([], "user_id long, day date, class string"), ["day", "class"], "user_id")
     assert bitmaps.count_ids_by(days, ["day"], "class", CLASSES).count() == 0
+
+
+def test_sparse_ids_take_a_word_each(spark):
+    """Ids far apart: no more rows than ids, of one word (a block of 32,768 ids took 4 KB for each)."""
+    days = bitmaps.build(spark.range(500).select((F.col("id") * 10**6).alias("user_id"), F.lit(dt.date(2024, 1, 1)).alias("day")), ["day"], "user_id")
+    assert days.schema[bitmaps.BITS].dataType.simpleString() == "bigint"
+    assert days.count() == 500 and bitmaps.count_ids(days, ["day"]).first().ids == 500
