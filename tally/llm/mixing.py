@@ -4,7 +4,10 @@ Each source has a token target and a weight schedule over training time. The
 integral of the schedule is the source's cumulative token demand; inverting
 it turns a document's place in its source's token stream into a training
 position, and a range sort by position interleaves the sources so that the
-mix follows all schedules at every moment.
+mix follows all schedules at every moment. ``plan`` finds targets and places,
+``copies`` the takes of each document and their positions; ``mix`` sorts the
+takes, adds up their words over the whole run and returns what each document
+contributes to it, ``training_documents`` the sorted texts.
 
 A source's stream runs through its documents in a hashed order, as many full
 passes as its target holds and then a part of one; the last document of the
@@ -13,7 +16,9 @@ part is taken up to the word that meets the target.
 Scale. Sizes are summed per source with map-side combine. The place in the
 stream is a prefix sum: each source is cut into hash ranges of about
 ``ROWS_PER_RANGE`` documents, their sums (a small table) give offsets, and a
-window adds up within a range. No source is ever sorted in one task. The
+window adds up within a range. No source is ever sorted in one task. ``mix``
+sorts takes without their texts: ranges cut at sampled positions, their sums as
+offsets. The
 number of sources must fit one task (their targets are solved together).
 
 Edge cases. Null text: size 0. Null source: a source of its own, ordered
@@ -27,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tally.llm.stage import carried, carried_column, staged, with_results
+from tally.operators.ordered import running_total
 
 #: Parameters: weights by source rank (repeating), total demand, most passes over a source.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -81,9 +87,9 @@ def position(share: Column, slope: Column) -> Column:
     return F.when(slope == 0, share).otherwise((b - F.sqrt(F.greatest(F.lit(0.0), b * b - 4 * slope * share))) / (2 * slope))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The input's rows and columns with size, source_size, target, taken (words taken,
-    repeats counted), and _stream (words before it in its source) and _slope."""
+def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The input's rows and columns with size, source_size, target, taken (words due,
+    repeats counted), _stream (words before it in its source), _slope, and _row, which tells rows apart."""
     src, body, ident = (carried_column(docs, c) for c in (source, text, doc_id))
     rows = carried(docs).select(
         "*", F.coalesce(F.concat(F.lit("="), src.cast("string")), F.lit("")).alias("_key"), src.alias("_source"),
@@ -98,32 +104,55 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     before = W.partitionBy("_key").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(F.col("_key").alias("_k"), F.col("_range").alias("_r"),
                           F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    within = W.partitionBy("_key", "_range").orderBy("_hash", "_id", "_size").rowsBetween(W.unboundedPreceding, -1)
+    hashed = W.partitionBy("_key", "_range").orderBy("_hash", "_id", "_size")
+    within = hashed.rowsBetween(W.unboundedPreceding, -1)
     # a merge join: one by broadcast would deal the texts out a second time for the window
     out = (ranged.join(offsets.hint("merge"), (F.col("_key") == F.col("_k")) & (F.col("_range") == F.col("_r")))
-           .withColumn("_stream", F.col("_before") + F.coalesce(F.sum("_size").over(within), F.lit(0))))
+           .withColumn("_stream", F.col("_before") + F.coalesce(F.sum("_size").over(within), F.lit(0)))
+           .withColumn("_nth", F.row_number().over(hashed)))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.floor(F.col("target") - passes * F.col("source_size")).cast("long")
     taken = passes * F.col("_size") + F.greatest(F.lit(0), F.least(F.col("_size"), rest - F.col("_stream")))
     return with_results(out, docs, {
         "size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"),
-        "taken": taken.cast("long"), "_stream": F.col("_stream"), "_slope": F.col("slope")})
+        "taken": taken.cast("long"), "_stream": F.col("_stream"), "_slope": F.col("slope"),
+        "_row": F.struct("_key", "_range", "_nth")})
 
 
-def copies(mixed: DataFrame) -> DataFrame:
+def copies(planned: DataFrame, untaken: bool = False) -> DataFrame:
     """One row per take of a document: _words (how many of its words) and _position.
 
     At most three rows a document; documents without a word are taken once,
-    so that none gets lost for having no size.
+    so that none gets lost for having no size. With ``untaken``, a document that
+    is not taken has one row too, of no words, where its first take would be.
     """
     size, taken = F.col("size"), F.col("taken")
     nth = F.when(size > 0, F.ceil(taken / size)).otherwise(1).cast("int")
-    rows = mixed.withColumn("_copy", F.explode(F.when(nth > 0, F.sequence(F.lit(0), nth - 1)).otherwise(F.expr("cast(array() as array<int>)"))))
+    nth = F.greatest(nth, F.lit(1)) if untaken else nth
+    rows = planned.withColumn("_copy", F.explode(F.when(nth > 0, F.sequence(F.lit(0), nth - 1)).otherwise(F.expr("cast(array() as array<int>)"))))
     share = F.when(F.col("target") > 0, (F.col("_copy") * F.col("source_size") + F.col("_stream") + size / 2) / F.col("target")).otherwise(0.0)
     return rows.select("*", F.least(size, taken - F.col("_copy") * size).alias("_words"),
                        position(F.least(F.lit(1.0), share), F.col("_slope")).alias("_position"))
 
 
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``, in the order of first takes: the columns ``carry`` (default: all), size, source_size,
+    target, taken (the words of its takes in the run), first_position (training time of its first take), first_word
+    (words of the run before that take) and last_word (words up to the end of its last take)."""
+    results = ["size", "source_size", "target"]
+    names = [c for c in (docs.columns if carry is None else carry) if c not in (*results, "taken")]
+    planned = plan(docs, doc_id, text, source).select(
+        *results, "taken", "_stream", "_slope", F.col("_row._key").alias("_key"), F.col("_row._range").alias("_range"), F.col("_row._nth").alias("_nth"),
+        F.col(f"`{doc_id}`").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_in"))
+    takes = copies(planned, untaken=True).drop("taken", "_stream", "_slope")
+    run = running_total(takes, "_words", ["_position", "_id", "_copy", "_key", "_range", "_nth"], name="_through")
+    rows = run.groupBy("_key", "_range", "_nth").agg(
+        F.first("_in").alias("_in"), F.first("_id").alias("_id"), *[F.first(c).alias(c) for c in results], F.sum("_words").cast("long").alias("taken"),
+        F.min("_position").alias("first_position"), F.min(F.col("_through") - F.col("_words")).cast("long").alias("first_word"), F.max("_through").cast("long").alias("last_word"))
+    return rows.orderBy("first_position", "_id", "_key", "_range", "_nth").select(
+        *[F.col(f"_in.`{c}`").alias(c) for c in names], *results, "taken", "first_position", "first_word", "last_word")
+
+
 def in_training_order(taken: DataFrame) -> DataFrame:
     """Range-sort by training position."""
     return taken.orderBy("_position", "doc_id", "_copy")
@@ -132,7 +161,7 @@ def in_training_order(taken: DataFrame) -> DataFrame:
 def training_documents(docs: DataFrame) -> DataFrame:
     """The mixed corpus in training order, with the input's columns: a document twice if
     taken twice; the one that meets its source's target is cut after its last taken word."""
-    rows = copies(mix(docs))
+    rows = copies(plan(docs))
     # the words of the one cut document per source; its runs of white space become single spaces
     words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
     part = F.concat_ws(" ", F.slice(words, F.lit(1), F.greatest(F.lit(0), F.col("_words")).cast("int")))
