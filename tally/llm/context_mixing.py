@@ -27,11 +27,13 @@ chunk, so no shard gets hot), once; a shard adds up counts over all training
 texts, keeps each word's spelling once with the places of the chunks' entries,
 codes its words and answers each chunk; chunks, bucketed by their number, stay
 where they are and add up their texts. Count tables have a fixed size, summed
-block by block. Word pairs and triples go to shards whose number follows the
+block by block. The mixer learns from every training word by its count: groups
+of shards each make an online pass over theirs, in rounds, and their mixers are
+averaged. Word pairs and triples go to shards whose number follows the
 tokens, one entry a chunk, as sorted keys whose bits follow the tokens too:
 their counts are exact but for hash collisions, one key in 2^SPARE_BITS at
-every size. Only the tables, the totals, counts by gate and ratio, and a
-bounded sample of words for the mixer reach the driver.
+every size. Only the tables, the totals, counts by gate and ratio, and the
+groups' mixers (numbers of fixed size each) reach the driver.
 
 Edge cases. Null and empty texts: the end symbol alone. A null id counts as
 training. Repeated rows are each counted and scored. Without training texts
@@ -51,15 +53,19 @@ from pyspark.sql import DataFrame, functions as F
 from tally.llm.stage import fold, staged, staged_by
 from tally.llm.textual import LOWER, U, mix, span_hashes, utf8_buffer, word_spans
 
-#: Parameters: slots per context (log2), shards, entries a shard handles at once, words to train the mixer.
+#: Parameters: slots per context (log2), shards, entries a shard handles at once; the mixer learns from all training
+#: words, in groups of about GROUP_WORDS, lots of LOT_WORDS at a time, in ROUNDS parts with the groups' mixers averaged after each.
 SLOT_BITS = {"place": 12, "one": 16, "two": 20, "four": 20, "prefix": 22}
 SHARD_BITS = 6
 SHARD_ENTRIES = 1_500_000
 CHUNK_TOKENS = 2_000_000
-MIXER_WORDS = 40_000
+GROUP_WORDS = 200_000
+LOT_WORDS = 8192
+ROUNDS = 2
 PACK_LEVEL = 5
 SLICE_TOKENS = 1 << 18
-RATE = 0.004
+RATE = 0.02
+APM_PRIOR = 64.0
 
 ORDERS = list(SLOT_BITS)
 SLOT_BASE = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS.values()])])
@@ -137,61 +143,96 @@ def count_bits(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> np.
 
 
 class Mixer:
-    """Gated weights and the refining table."""
+    """Gated weights and the refining table, whose cells are means of the bits seen there."""
 
-    def __init__(self) -> None:
-        self.weights = np.full((N_GATES, 2 * len(ORDERS)), 0.0)
+    def __init__(self, kind: type = np.float64) -> None:
+        self.weights = np.zeros((N_GATES, 2 * len(ORDERS)), kind)
         self.weights[:, :len(ORDERS)] = 0.25
         grid = np.linspace(-8, 8, APM_STEPS)
-        self.apm = np.tile(1 / (1 + np.exp(-grid)), (256, 1))
-
-    def predict(self, n0: np.ndarray, n1: np.ndarray, place: int, node: np.ndarray) -> tuple[np.ndarray, ...]:
-        """n0, n1: (orders, words). Returns p(bit = 1) and what learning needs."""
-        total = n0 + n1
-        stretch = np.log((n1 + 0.4) / (n0 + 0.4))
-        x = np.concatenate([stretch, np.where(total > 30, stretch, 0)])
-        # the prefix's count, in steps of about four
-        seen = np.minimum(np.log2(total[4] + 1) / 2, GATE_STEPS - 1).astype(np.int64)
+        self.start = np.tile(1 / (1 + np.exp(-grid)), (256, 1))
+        self.bits = np.zeros((2, 256 * APM_STEPS))  # tokens, and tokens whose bit is one
+        self.squares = np.zeros(self.weights.shape)
+        self.refresh()
+
+    def refresh(self) -> None:
+        seen, ones = self.bits.reshape(2, 256, APM_STEPS)
+        self.apm = np.clip((APM_PRIOR * self.start + ones) / (APM_PRIOR + seen), 1e-6, 1 - 1e-6).astype(self.weights.dtype)
+
+    def predict(self, stretch: np.ndarray, sure: np.ndarray, seen: np.ndarray, place: int, node: np.ndarray) -> tuple[np.ndarray, ...]:
+        """stretch, sure: (orders, words); seen: step of the prefix's count. Returns p(bit = 1) and what learning needs."""
+        x = np.concatenate([stretch, stretch * sure])
         gate = min(place, 5) * GATE_STEPS + seen
         dot = np.clip(np.einsum("ij,ji->i", self.weights[gate], x), -12, 12)
         p = 1 / (1 + np.exp(-dot))
         where = np.clip((dot + 8) * ((APM_STEPS - 1) / 16), 0, APM_STEPS - 1.001)
         low = where.astype(np.int64)
         part = where - low
-        c0 = node.astype(np.int64)
-        refined = self.apm[c0, low] * (1 - part) + self.apm[c0, low + 1] * part
-        return np.clip(0.6 * p + 0.4 * refined, 2e-7, 1 - 2e-7), p, x, gate, c0, low, part
-
-    def learn(self, bit: np.ndarray, state: tuple[np.ndarray, ...]) -> None:
-        _, p, x, gate, c0, low, part = state
-        np.add.at(self.weights, gate, RATE * ((bit - p) * x).T / max(1.0, len(bit) / 32))
-        near = low + (part > 0.5)
-        np.add.at(self.apm, (c0, near), RATE * (bit - self.apm[c0, near]) / max(1.0, len(bit) / 32))
-        np.clip(self.apm, 1e-6, 1 - 1e-6, out=self.apm)
-
-
-def train_mixer(table: np.ndarray, words: list[bytes], lot: int = 512) -> Mixer:
-    """One online pass over sampled training words, in their given order."""
-    mixer = Mixer()
-    for k in range(0, len(words), lot):
-        own = words[k:k + lot]
-        spelling = Spelling(np.frombuffer(b"".join(own) or b" ", np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in own])]))
+        cell = node.astype(np.int64) * APM_STEPS + low
+        apm = self.apm.ravel()
+        refined = apm[cell] * (1 - part) + apm[cell + 1] * part
+        return np.clip(0.6 * p + 0.4 * refined, 2e-7, 1 - 2e-7), p, x, gate, cell, part
+
+    def learn(self, bit: np.ndarray, weight: np.ndarray, state: tuple[np.ndarray, ...]) -> None:
+        """One step along the gates' mean gradients, each weight at its own pace (AdaGrad)."""
+        _, p, x, gate, cell, part = state
+        error = (bit - p) * weight
+        tokens = np.bincount(gate, weight, N_GATES)
+        step = np.stack([np.bincount(gate, error * v, N_GATES) for v in x], 1) / np.maximum(tokens, 32.0)[:, None]
+        self.squares += step * step
+        self.weights += RATE * step / np.sqrt(self.squares + 1e-6)
+        near = cell + (part > 0.5)
+        self.bits += [np.bincount(near, weight, self.bits.shape[1]), np.bincount(near, weight * bit, self.bits.shape[1])]
+
+
+def stretched(n0: np.ndarray, n1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logit of counts, and whether they are many."""
+    return np.log((n1 + np.float32(0.4)) / (n0 + np.float32(0.4))), n0 + n1 > 30
+
+
+def prefix_step(total: np.ndarray) -> np.ndarray:
+    """The prefix's count, in steps of about four."""
+    return np.minimum(np.log2(total + 1) / 2, GATE_STEPS - 1).astype(np.uint8)
+
+
+def shares_of(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words in lots of about the same number of tokens, mixed by hash: (word, tokens) of each share.
+
+    A word with many tokens has shares in several lots, so that every token counts the same and no
+    word rules a step. There are few more shares than words."""
+    lots = -(-len(keys) // LOT_WORDS)
+    times = np.ceil(counts * (8 * lots / max(1, counts.sum()))).astype(np.int64)
+    word = np.repeat(np.arange(len(keys)), times)
+    nth = np.arange(len(word)) - np.repeat(np.cumsum(times) - times, times)
+    order = np.argsort(mix(keys[word] + mix(nth.astype(np.uint64))), kind="stable")
+    return word[order], (counts / np.maximum(1, times))[word[order]]
+
+
+def train_mixer(mixer: Mixer, table: np.ndarray, keys: np.ndarray, counts: np.ndarray, data: np.ndarray, offsets: np.ndarray, turn: int) -> None:
+    """One online pass over every ROUNDS-th lot of the words, each bit scored before it is learnt from and without its own occurrence."""
+    word, weight = shares_of(keys, counts)
+    for k in range(0, len(word), LOT_WORDS):
+        if k // LOT_WORDS % ROUNDS != turn:
+            continue
+        spelling = Spelling(*_pick(data, offsets, word[k:k + LOT_WORDS]))
+        tokens = weight[k:k + LOT_WORDS][spelling.order]
         for place, (at, byte, context) in enumerate(spelling.steps()):
             node = np.ones(len(at), np.uint64)
             for b in range(7, -1, -1):
                 bit = ((byte >> U(b)) & U(1)).astype(np.int64)
-                counts = table[np.stack(slots(context, node))].astype(float)
-                counts[:, np.arange(len(at)), bit] = np.maximum(0, counts[:, np.arange(len(at)), bit] - 1)
-                state = mixer.predict(counts[..., 0], counts[..., 1], place, node)
-                mixer.learn(bit.astype(float), state)
+                pairs = table[np.stack(slots(context, node))]
+                own = np.maximum(0, pairs - np.stack([1 - bit, bit], 1).astype(np.float32))
+                stretch, sure = stretched(own[..., 0], own[..., 1])
+                state = mixer.predict(stretch, sure, prefix_step(own[4].sum(1)), place, node)
+                mixer.learn(bit, tokens[:len(at)], state)
                 node = (node << U(1)) | bit.astype(np.uint64)
-    return mixer
+        mixer.refresh()
+
 
+def code_lengths(table: tuple[np.ndarray, ...], mixer: Mixer, data: np.ndarray, offsets: np.ndarray, lot: int = 100_000) -> np.ndarray:
+    """log10 probability of each word with its terminator, in single precision: p and 1 - p still add up to one.
 
-def code_lengths(table: np.ndarray, mixer: Mixer, data: np.ndarray, offsets: np.ndarray, lot: int = 100_000) -> np.ndarray:
-    """log10 probability of each word with its terminator, in single precision: p and 1 - p still add up to one."""
-    single = Mixer()
-    single.weights, single.apm = mixer.weights.astype(np.float32), mixer.apm.astype(np.float32)
+    ``table``: what ``stretched`` and ``prefix_step`` say of each slot."""
+    stretch, sure, seen = table
     out = np.zeros(len(offsets) - 1)
     for k in range(0, len(out), lot):
         cuts = offsets[k:k + lot + 1]
@@ -201,8 +242,8 @@ def code_lengths(table: np.ndarray, mixer: Mixer, data: np.ndarray, offsets: np.
             node = np.ones(len(at), np.uint64)
             for b in range(7, -1, -1):
                 bit = (byte >> U(b)) & U(1)
-                counts = table[np.stack(slots(context, node))]
-                p = single.predict(counts[..., 0], counts[..., 1], place, node)[0]
+                where = np.stack(slots(context, node))
+                p = mixer.predict(stretch[where], sure[where], seen[where[4]], place, node)[0]
                 total[:len(at)] += np.log10(np.where(bit == 1, p, 1 - p))
                 node = (node << U(1)) | bit
         out[k + spelling.order] = total
@@ -238,6 +279,17 @@ def _unpack_ints(b: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
+def _slot_counts(b: bytes) -> np.ndarray:
+    """The slots' counts (N_SLOTS, 2) from ``_pack_ints``, a plane at a time and in single precision."""
+    n, width = int.from_bytes(b[:8], "little"), b[8]
+    out = np.zeros(n, np.float32)
+    planes = _unpack(b[9:], np.uint8).reshape(width, n) if width else []
+    for k, plane in enumerate(planes):
+        for lo in range(0, n, BLOCK):
+            out[lo:lo + BLOCK] += plane[lo:lo + BLOCK] * np.float32(256**k)
+    return out.reshape(-1, 2)
+
+
 def _pack_floats(x: np.ndarray) -> bytes:
     return _pack_ints(np.ascontiguousarray(x, np.float32).view(np.uint32))
 
@@ -363,27 +415,23 @@ def split_shards(entries: DataFrame, total: int) -> DataFrame:
 _ENTRY = "chunk long, shard int, n long, words binary, lengths binary, counts binary"
 
 
-def vocabulary(entries: DataFrame, sample_rate: float) -> DataFrame:
-    """Per sub-shard: its distinct words, spelled once, with their training counts; where each chunk's
-    entries stand among them; and a sample of training words by count."""
+def vocabulary(entries: DataFrame) -> DataFrame:
+    """Per sub-shard: its distinct words, spelled once, with their training counts; and where each chunk's
+    entries stand among them."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         keys, counts, data, offsets = _joined(pdf)
         distinct, at, back = np.unique(keys, return_index=True, return_inverse=True)
         total = np.bincount(back, counts, len(distinct)).astype(np.int64)
         d, o = _pick(data, offsets, at)
-        # a word is sampled about in proportion to its count: expected draws, rounded by its hash
-        u = (mix(distinct) >> U(11)).astype(float) / 2.0**53
-        times = np.where(total > 0, np.floor(total * sample_rate + u), 0).astype(np.int64)
-        sd, so = _pick(d, o, np.repeat(np.arange(len(distinct)), times))
         places = [_pack_sorted(x.astype(np.uint64)) for x in np.split(back, np.cumsum(pdf["n"].to_numpy())[:-1])]
         return pd.DataFrame({"shard": [int(key[0])], "sub": [int(key[1])], "tokens": [int(total.sum())], "distinct": [int((total > 0).sum())],
                              "counts": [_pack_ints(total)], "words": [_pack(d)], "lengths": [_pack_ints(np.diff(o))],
-                             "chunks": [pdf["chunk"].tolist()], "places": [places], "sample_words": [_pack(sd)], "sample_lengths": [_pack_ints(np.diff(so))]})
+                             "chunks": [pdf["chunk"].tolist()], "places": [places]})
 
     return entries.groupBy("shard", "sub").applyInPandas(
         run, "shard int, sub int, tokens long, distinct long, counts binary, words binary, lengths binary, "
-             "chunks array<long>, places array<binary>, sample_words binary, sample_lengths binary")
+             "chunks array<long>, places array<binary>")
 
 
 def count_table(vocab: DataFrame) -> np.ndarray:
@@ -414,6 +462,33 @@ def count_table(vocab: DataFrame) -> np.ndarray:
     return table
 
 
+def fit_mixer(vocab: DataFrame, counts, n_distinct: int) -> Mixer:
+    """A mixer learnt online from all training words. Groups of shards learn side by side, from the mixer of the round
+    before; their weights are averaged by tokens, the cells of their refining tables add up."""
+    groups = max(1, n_distinct // GROUP_WORDS)
+    words = vocab.select(F.pmod(F.col("shard") + F.col("sub") * (1 << SHARD_BITS), F.lit(groups)).alias("group"), "counts", "words", "lengths")
+    mixer = Mixer()
+    for turn in range(ROUNDS):
+        start = mixer.weights, mixer.bits
+
+        def learn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            keys, count, data, offsets = _joined(pdf)
+            known = np.flatnonzero(count)
+            own = Mixer()
+            own.weights, own.bits = (x.copy() for x in start)
+            own.refresh()
+            train_mixer(own, _slot_counts(counts.value), keys[known], count[known], *_pick(data, offsets, known), turn)
+            return pd.DataFrame({"group": [key[0]], "tokens": [float(count.sum())], "weights": [own.weights.tobytes()], "bits": [_pack(own.bits - start[1])]})
+
+        learnt = sorted(words.groupBy("group").applyInPandas(learn, "group long, tokens double, weights binary, bits binary").toLocalIterator(), key=lambda r: r["group"])
+        tokens = sum(r["tokens"] for r in learnt)
+        if tokens:
+            mixer.weights = sum(np.frombuffer(r["weights"]).reshape(mixer.weights.shape) * (r["tokens"] / tokens) for r in learnt)
+            mixer.bits = start[1] + sum(_unpack(bytes(r["bits"]), float).reshape(mixer.bits.shape) for r in learnt)
+            mixer.refresh()
+    return mixer
+
+
 # --- contexts that span words -------------------------------------------------
 
 def sequence(tokens: bytes, used: bytes, first: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -552,27 +627,25 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
     entries = split_shards(entries, size)
     texts = rows.filter("shard < 0").select("chunk", "doc_ids", "held", "bytes", "keys", "counts", "tokens", "first")
     n_tokens = rows.filter("shard < 0").agg(F.sum("n").alias("n")).first()["n"] or 0
-    vocab = staged(vocabulary(entries, min(1.0, MIXER_WORDS / max(1, n_tokens))), "vocabulary")
+    vocab = staged(vocabulary(entries), "vocabulary")
     totals = vocab.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
     n_train, n_distinct = int(totals["n"]), int(totals["v"])
-    table = count_table(vocab)
-    words = []
-    for r in vocab.select("sample_words", "sample_lengths").collect():
-        data, length = _unpack(r["sample_words"], np.uint8).tobytes(), _unpack_ints(bytes(r["sample_lengths"]))
-        ends = np.cumsum(length)
-        words += [data[e - k:e] for e, k in zip(ends.tolist(), length.tolist())]
-    words.sort(key=lambda w: mix(span_hashes(np.frombuffer(w or b" ", np.uint8), np.array([0]), np.array([max(1, len(w))])))[0])
-    mixer = train_mixer(table, words)
-    model = spark.sparkContext.broadcast((_pack_ints(table.ravel()), mixer.weights, mixer.apm))  # N_SLOTS * 8 bytes at most, packed
+    counts = spark.sparkContext.broadcast(_pack_ints(count_table(vocab).ravel()))  # N_SLOTS * 8 bytes at most, packed
+    fitted = fit_mixer(vocab, counts, n_distinct)
+    learnt = fitted.weights.astype(np.float32), fitted.bits
 
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mixer, (packed, mixer.weights, mixer.apm) = Mixer(), model.value
-        slot_counts = _unpack_ints(packed).astype(np.float32).reshape(-1, 2)
+        mixer = Mixer(np.float32)
+        mixer.weights, mixer.bits = learnt
+        mixer.refresh()
+        pairs = _slot_counts(counts.value)
+        table = (*stretched(pairs[:, 0], pairs[:, 1]), prefix_step(pairs.sum(1)))
+        del pairs
         for pdf in frames:
             for i in range(len(pdf)):
                 r = pdf.iloc[i]
                 _, count, data, offsets = _joined(pdf.iloc[i:i + 1])
-                bits = code_lengths(slot_counts, mixer, data, offsets).astype(np.float32)
+                bits = code_lengths(table, mixer, data, offsets).astype(np.float32)
                 for chunk, places in zip(r["chunks"], r["places"]):
                     x = _unpack_sorted(places).astype(np.int64)
                     yield pd.DataFrame({"chunk": [chunk], "shard": [r["shard"]], "sub": [r["sub"]], "counts": [_pack_ints(count[x])], "logs": [_pack_floats(bits[x])]})

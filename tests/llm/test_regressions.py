@@ -2,9 +2,10 @@
 
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tally.llm import html_text, near_dedup, neighbours, packing
+from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing
 
 
 def test_unclosed_marks_end_in_useful_time():
@@ -47,3 +48,34 @@ def test_slices_hold_whole_texts():
     cut = list(packing.slices(col, 12))
     assert [n for _, n in cut] == [3, 1, 2] and cut[0][0] == 0 and sum(n for _, n in cut) == 6
     assert list(packing.slices(pa.array([], pa.string()))) == []
+
+
+def test_the_mixer_learns_from_every_training_word(spark):
+    """Each word's tokens come up in the shares whole, however often it occurs; both rounds together hold all shares."""
+    rng = np.random.default_rng(3)
+    counts = np.concatenate([rng.integers(1, 9, 30_000), [10**6, 10**5]])
+    word, weight = context_mixing.shares_of(rng.integers(1, 2**63, len(counts)).astype(np.uint64), counts)
+    assert np.allclose(np.bincount(word, weight, len(counts)), counts) and len(word) < len(counts) + 100
+    data, offsets = np.frombuffer(b"abcabd", np.uint8), np.array([0, 3, 6])
+    table = context_mixing.count_bits(data, offsets, np.array([5, 2]))
+    mixer = context_mixing.Mixer()
+    for turn in range(context_mixing.ROUNDS):
+        context_mixing.train_mixer(mixer, table, np.array([7, 8], np.uint64), np.array([5, 2]), data, offsets, turn)
+    assert mixer.bits[0].sum() == 7 * 4 * 8  # seven tokens of three letters and a terminator
+
+
+def test_mix_rows_come_from_the_sorted_run(spark):
+    """The takes of all documents, laid end to end by training position, fill the run without gaps and follow the schedules."""
+    texts = [(i, " ".join(["w"] * (1 + i % 7)) if i % 11 else None, "abc"[i % 3]) for i in range(400)] + [(None, "x y", "a"), (5, "w", "a"), (5, "w", "a")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == len(texts) and [r.first_position for r in rows] == sorted(r.first_position for r in rows)
+    run = sorted(mixing.copies(mixing.plan(docs)).collect(), key=lambda r: (r._position, r.doc_id is not None, r.doc_id or 0, r._copy, r._row))
+    at, first, taken = 0, {}, {}
+    for r in run:
+        first.setdefault(r._row, at)
+        at, taken[r._row] = at + r._words, taken.get(r._row, 0) + r._words
+    assert max(r.last_word for r in rows) == at == sum(r.taken for r in rows)
+    assert sorted((r.first_word, r.taken) for r in rows if r.taken) == sorted((first[k], n) for k, n in taken.items() if n)
+    early = sum(r.taken for r in rows if r.source == "a" and r.first_position < 0.25)  # slope 0.5: more of it early on
+    assert early > 0.25 * sum(r.taken for r in rows if r.source == "a")
