@@ -480,7 +480,7 @@ def fit_mixer(vocab: DataFrame, counts, n_distinct: int) -> Mixer:
             train_mixer(own, _slot_counts(counts.value), keys[known], count[known], *_pick(data, offsets, known), turn)
             return pd.DataFrame({"group": [key[0]], "tokens": [float(count.sum())], "weights": [own.weights.tobytes()], "bits": [_pack(own.bits - start[1])]})
 
-        learnt = sorted(words.groupBy("group").applyInPandas(learn, "group long, tokens double, weights binary, bits binary").toLocalIterator(), key=lambda r: r["group"])
+        learnt = sorted(words.groupBy("group").applyInPandas(learn, "group long, tokens double, weights binary, bits binary").collect(), key=lambda r: r["group"])
         tokens = sum(r["tokens"] for r in learnt)
         if tokens:
             mixer.weights = sum(np.frombuffer(r["weights"]).reshape(mixer.weights.shape) * (r["tokens"] / tokens) for r in learnt)
