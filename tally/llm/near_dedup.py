@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tally.llm.graph import components
-from tally.llm.stage import carried, carried_column, staged
+from tally.llm.stage import carried, carried_column, maybe_in, staged
 from tally.llm.textual import LOWER, U, binary_column, mix, shingle_hashes, utf8_buffer, word_hashes
 
 #: Parameters: MinHash samples, chance to miss a pair, sketch bits, block size.
@@ -220,10 +220,11 @@ def links(docs: DataFrame, sigs: DataFrame, width: int, percent: int, block_byte
     null_id = -(1 << 63)
     texts = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("_id"))
     wanted = placed.select(F.coalesce("rep", F.lit(null_id)).alias("_id")).distinct()
+    texts = maybe_in(texts, "_id", wanted)[0]  # no other text is shuffled
     found = class_sets(texts.join(wanted, "_id", "left_semi"), width).dropDuplicates(["class_key"])
-    loaded = placed.join(found.drop("n"), "class_key")
-    work = loaded.join(sides, ["cluster", "range", "part"]).select(
-        "group", F.xxhash64("cluster", "task").alias("unit"), "side", "class_key", "n", "sketch", "hashes")
+    # the sets are dealt by class, joined where they lie, and dealt to the groups
+    places = placed.join(sides, ["cluster", "range", "part"]).select("group", F.xxhash64("cluster", "task").alias("unit"), "side", "class_key", "n")
+    work = places.join(found.drop("n"), "class_key").select("group", "unit", "side", "class_key", "n", "sketch", "hashes")
     differing = most_differing(percent / 100)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -271,8 +272,11 @@ def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     found = near_duplicates(rows, width, percent).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
     keep = keys.join(found, "_row").groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row", "_copies")).alias("_best"))
     keep = staged(keep.select("_best._row", "_best._copies"), "kept-rows")
-    out = keyed.join(keep.filter("_copies = 1").select("_row"), "_row", "left_semi")
-    repeated = keep.filter("_copies > 1").select("_row")
+    single, repeated = (keep.filter(x).select("_row") for x in ("_copies = 1", "_copies > 1"))
+    # every row is under one of the keys, so one that is not under the others stays; the rest are joined
+    others = staged(keys.select("_row").join(single, "_row", "left_anti"), "other-rows")
+    unsure, sure = maybe_in(keyed, "_row", others)
+    out = sure.unionByName(unsure.join(single, "_row", "left_semi"))
     if not repeated.isEmpty():
-        out = out.unionByName(keyed.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
+        out = out.unionByName(unsure.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
     return out.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])

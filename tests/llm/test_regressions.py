@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tally.llm import context_mixing, html_text, mixing, near_dedup, neighbours, packing
+from tally.llm.stage import maybe_in
 
 
 def test_unclosed_marks_end_in_useful_time():
@@ -42,6 +43,27 @@ def test_one_row_of_a_group_stays_whatever_its_id(spark):
     assert [r[0] for r in got if r[1] == text] == [1] and near_dedup.deduplicate(d.limit(0)).count() == 0
 
 
+def test_rows_that_surely_stay_are_not_shuffled(spark):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 100 != 7, F.col("id")).alias("k"), "id")
+    near, far = maybe_in(rows, "k", spark.range(0, 3000, 3).select(F.col("id").alias("k")))
+    near, far = ([r.k for r in x.collect()] for x in (near, far))
+    assert len(near) + len(far) == 20_000 and set(range(0, 3000, 3)) - set(range(7, 3000, 100)) <= set(near) and len(near) < 3000 and far.count(None) == 200
+    near, far = maybe_in(rows, "k", rows.select("k").limit(0))
+    assert near.count() == 0 and far.count() == 20_000
+    words = [f"w{i}" for i in range(90)]
+    docs = spark.createDataFrame([(i, " ".join(words[i:i + 8])) for i in range(0, 80, 8)] + [(100, "w0 w1 w2 w3 w4 w5 w6 w7")], "doc_id long, text string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        kept = near_dedup.deduplicate(docs)
+        plan = kept._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    first = plan.children().head().toString()  # of a union: the rows that need no exact join
+    assert plan.nodeName() == "Union" and "LeftSemi" not in first and "LeftAnti" not in first
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 8))
+
+
 def test_slices_hold_whole_texts():
     import pyarrow as pa
     col = pa.array(["a" * 10, None, "", "b" * 50, "c" * 5, "d"])
