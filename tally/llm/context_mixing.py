@@ -127,9 +127,8 @@ def slots(context: dict[str, np.ndarray], node: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def count_bits(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Counts (N_SLOTS, 2) that words with the given weights add to the slots."""
-    flat = np.zeros(2 * N_SLOTS)
+def add_bits(flat: np.ndarray, data: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> None:
+    """Add to the slots' counts (2 * N_SLOTS, zeros and ones by turns) those of words with the given weights."""
     spelling = Spelling(data, offsets)
     weight = weight[spelling.order].astype(float)
     for at, byte, context in spelling.steps():
@@ -139,6 +138,12 @@ def count_bits(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> np.
             for s in slots(context, node):
                 np.add.at(flat, 2 * s + bit.astype(np.int64), weight[at])
             node = (node << U(1)) | bit
+
+
+def count_bits(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Counts (N_SLOTS, 2) of words with the given weights."""
+    flat = np.zeros(2 * N_SLOTS)
+    add_bits(flat, data, offsets, weight)
     return flat.reshape(-1, 2).astype(np.float32)
 
 
@@ -279,15 +284,32 @@ def _unpack_ints(b: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
-def _slot_counts(b: bytes) -> np.ndarray:
-    """The slots' counts (N_SLOTS, 2) from ``_pack_ints``, a plane at a time and in single precision."""
+def _slot_blocks(b: bytes) -> Iterator[tuple[slice, np.ndarray]]:
+    """The slots' counts from ``_pack_ints``, BLOCK slots at a time and in single precision."""
     n, width = int.from_bytes(b[:8], "little"), b[8]
-    out = np.zeros(n, np.float32)
-    planes = _unpack(b[9:], np.uint8).reshape(width, n) if width else []
-    for k, plane in enumerate(planes):
-        for lo in range(0, n, BLOCK):
-            out[lo:lo + BLOCK] += plane[lo:lo + BLOCK] * np.float32(256**k)
-    return out.reshape(-1, 2)
+    planes = _unpack(memoryview(b)[9:], np.uint8).reshape(width, n) if width else np.zeros((0, n), np.uint8)
+    for lo in range(0, n, 2 * BLOCK):
+        part = np.zeros(min(2 * BLOCK, n - lo), np.float32)
+        for k, plane in enumerate(planes):
+            part += plane[lo:lo + 2 * BLOCK] * np.float32(256**k)
+        yield slice(lo // 2, lo // 2 + len(part) // 2), part.reshape(-1, 2)
+
+
+def _slot_counts(b: bytes) -> np.ndarray:
+    """The slots' counts (N_SLOTS, 2)."""
+    out = np.empty((N_SLOTS, 2), np.float32)
+    for at, part in _slot_blocks(b):
+        out[at] = part
+    return out
+
+
+def _slot_table(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``stretched`` and ``prefix_step`` say of each slot; the counts themselves are not kept."""
+    stretch, sure, seen = np.empty(N_SLOTS, np.float32), np.empty(N_SLOTS, bool), np.empty(N_SLOTS, np.uint8)
+    for at, part in _slot_blocks(b):
+        stretch[at], sure[at] = stretched(part[:, 0], part[:, 1])
+        seen[at] = prefix_step(part.sum(1))
+    return stretch, sure, seen
 
 
 def _pack_floats(x: np.ndarray) -> bytes:
@@ -443,11 +465,11 @@ def count_table(vocab: DataFrame) -> np.ndarray:
             for i in range(len(pdf)):
                 _, counts, data, offsets = _joined(pdf.iloc[i:i + 1])
                 known = np.flatnonzero(counts)
-                part = count_bits(*_pick(data, offsets, known), counts[known])
-                total = part if total is None else total + part
+                total = np.zeros(2 * N_SLOTS) if total is None else total
+                add_bits(total, *_pick(data, offsets, known), counts[known])
         if total is not None:
             for b in range(0, N_SLOTS, BLOCK):
-                yield pd.DataFrame({"block": [b], "counts": [_pack_ints(total[b:b + BLOCK].ravel())]})
+                yield pd.DataFrame({"block": [b], "counts": [_pack_ints(total[2 * b:2 * (b + BLOCK)])]})
 
     def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(_unpack_ints(x) for x in pdf["counts"])
@@ -507,13 +529,26 @@ def before(x: np.ndarray, starts: np.ndarray, at_start) -> np.ndarray:
 
 def span_keys(at: np.ndarray, starts: np.ndarray, keys: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's distinct keys, of ``bits`` bits, of word pairs and triples, and each token's index of its pair and its triple."""
+    n = len(at)
+    both = np.empty(2 * n, np.uint64)  # pairs, then triples
     word = keys[at]
     one = before(word, starts, START_KEY)
     two = before(one, starts, START_KEY)
-    pair = mix(word * U(0x9E3779B97F4A7C15) + mix(one + U(0xB5297A4D)))
-    triple = mix(pair * U(0xC2B2AE3D27D4EB4F) + mix(two + U(0x68E31DA4)))
-    distinct, back = np.unique(np.concatenate([pair, triple]) >> U(64 - bits), return_inverse=True)
-    return distinct, back[:len(at)], back[len(at):]
+    for k in range(0, n, SLICE_TOKENS):
+        x, y = slice(k, min(k + SLICE_TOKENS, n)), slice(n + k, n + min(k + SLICE_TOKENS, n))
+        both[x] = mix(word[x] * U(0x9E3779B97F4A7C15) + mix(one[x] + U(0xB5297A4D)))
+        both[y] = mix(both[x] * U(0xC2B2AE3D27D4EB4F) + mix(two[x] + U(0x68E31DA4)))
+    del word, one, two
+    both >>= U(64 - bits)
+    # np.unique with the inverse, in less memory
+    order = np.argsort(both)
+    both = both[order]
+    first = np.ones(2 * n, bool)
+    first[1:] = both[1:] != both[:-1]
+    both = both[first]
+    back = np.empty(2 * n, np.int32)
+    back[order] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+    return both, back[:n], back[n:]
 
 
 def span_bits(tokens: int) -> int:
@@ -638,9 +673,7 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         mixer = Mixer(np.float32)
         mixer.weights, mixer.bits = learnt
         mixer.refresh()
-        pairs = _slot_counts(counts.value)
-        table = (*stretched(pairs[:, 0], pairs[:, 1]), prefix_step(pairs.sum(1)))
-        del pairs
+        table = _slot_table(counts.value)
         for pdf in frames:
             for i in range(len(pdf)):
                 r = pdf.iloc[i]
@@ -675,9 +708,10 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
         for pdf in frames:
             for _, r in pdf.iterrows():
                 spans = Spans(r, False)
-                mixed = np.concatenate([np.log10(spans.mixed(shares, x)) for x in spans.slices()])
-                base = np.log10((spans.words + 1.0) / (n_train + n_distinct + 1.0))[spans.at]
-                b, s, k = (np.add.reduceat(x, spans.starts) for x in (base, mixed, (spans.words > 0).astype(np.int64)[spans.at]))
+                base, known = np.log10((spans.words + 1.0) / (n_train + n_distinct + 1.0)), (spans.words > 0).astype(np.int64)
+                s = np.add.reduceat(np.concatenate([np.log10(spans.mixed(shares, x)) for x in spans.slices()]), spans.starts)
+                b = np.add.reduceat(base[spans.at], spans.starts)
+                k = np.add.reduceat(known[spans.at], spans.starts)
                 n_bytes = _unpack_ints(r["bytes"])
                 yield pd.DataFrame({
                     "doc_id": pd.array([None if x is None or x != x else int(x) for x in r["doc_ids"]], "Int64"), "held_out": np.frombuffer(r["held"], bool),

@@ -101,3 +101,26 @@ def test_mix_rows_come_from_the_sorted_run(spark):
     assert sorted((r.first_word, r.taken) for r in rows if r.taken) == sorted((first[k], n) for k, n in taken.items() if n)
     early = sum(r.taken for r in rows if r.source == "a" and r.first_position < 0.25)  # slope 0.5: more of it early on
     assert early > 0.25 * sum(r.taken for r in rows if r.source == "a")
+
+
+def test_a_chunks_span_keys_and_the_slots_table_take_little_memory():
+    import tracemalloc
+    n = 600_000
+    rng = np.random.default_rng(5)
+    at, starts, keys = rng.integers(0, 50_000, n), np.array([0, n // 3]), rng.integers(1, 2**48, 50_000).astype(np.uint64)
+    tracemalloc.start()
+    distinct, pair, triple = context_mixing.span_keys(at, starts, keys, 33)
+    assert tracemalloc.get_traced_memory()[1] < 110 * n
+    tracemalloc.stop()
+    assert (np.diff(distinct.astype(np.int64)) > 0).all() and distinct.max() < 2**33 and len(pair) == len(triple) == n
+    found, back = np.unique(np.concatenate([pair, triple]), return_inverse=True)
+    assert (found == np.arange(len(distinct))).all()
+    counts = rng.integers(0, 300, (context_mixing.N_SLOTS, 2)).astype(np.float32)
+    packed = context_mixing._pack_ints(counts.ravel())
+    assert (context_mixing._slot_counts(packed) == counts).all()
+    tracemalloc.start()
+    stretch, sure, seen = context_mixing._slot_table(packed)
+    assert tracemalloc.get_traced_memory()[1] < 14 * context_mixing.N_SLOTS
+    tracemalloc.stop()
+    want = context_mixing.stretched(counts[:, 0], counts[:, 1])
+    assert np.allclose(stretch, want[0]) and (sure == want[1]).all() and (seen == context_mixing.prefix_step(counts.sum(1))).all()
