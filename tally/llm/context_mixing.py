@@ -285,6 +285,11 @@ def _unpack_ints(b: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
+def _width(b: bytes) -> int:
+    """Bytes of an unsigned type that holds the numbers of ``_pack_ints``."""
+    return next(k for k in (1, 2, 4, 8) if k >= b[8])
+
+
 def _slot_blocks(b: bytes) -> Iterator[tuple[slice, np.ndarray]]:
     """The slots' counts from ``_pack_ints``, BLOCK slots at a time and in single precision."""
     n, width = int.from_bytes(b[:8], "little"), b[8]
@@ -591,17 +596,20 @@ def span_counts(texts: DataFrame, tokens: int) -> DataFrame:
     """Per chunk and shard: the training counts of the chunk's distinct pair and triple keys, in key order."""
     bits, width = max(SHARD_BITS, (2 * tokens // SHARD_ENTRIES).bit_length()), span_bits(tokens)
 
+    def of_chunk(r: pd.Series) -> pd.DataFrame:
+        at, starts = sequence(r["tokens"], r["counts"], r["first"])
+        distinct, pair, triple = span_keys(at, starts, _unpack_sorted(r["keys"]), width)
+        train = ~np.repeat(np.frombuffer(r["held"], bool), np.diff(np.append(starts, len(at))))
+        counts = np.bincount(np.concatenate([pair[train], triple[train]]), minlength=len(distinct))
+        cuts = np.append(np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << U(width - bits)), len(distinct))
+        out = [(r["chunk"], k, y - x, _pack_sorted(distinct[x:y]), _pack_ints(counts[x:y]))
+               for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if x < y]
+        return pd.DataFrame(out, columns=["chunk", "shard", "n", "keys", "counts"])
+
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for _, r in pdf.iterrows():
-                at, starts = sequence(r["tokens"], r["counts"], r["first"])
-                distinct, pair, triple = span_keys(at, starts, _unpack_sorted(r["keys"]), width)
-                train = ~np.repeat(np.frombuffer(r["held"], bool), np.diff(np.append(starts, len(at))))
-                counts = np.bincount(np.concatenate([pair[train], triple[train]]), minlength=len(distinct))
-                cuts = np.append(np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << U(width - bits)), len(distinct))
-                out = [(r["chunk"], k, y - x, _pack_sorted(distinct[x:y]), _pack_ints(counts[x:y]))
-                       for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if x < y]
-                yield pd.DataFrame(out, columns=["chunk", "shard", "n", "keys", "counts"])
+                yield of_chunk(r)  # a chunk's arrays are gone before the next one's are made
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         distinct, _, back = distinct_of(np.concatenate([_unpack_sorted(x) for x in pdf["keys"]]))
@@ -619,9 +627,11 @@ class Spans:
 
     def __init__(self, r: pd.Series, leave_out: bool):
         self.at, self.starts = sequence(r["tokens"], r["used"], r["first"])
-        self.words = _unpack_ints(r["counts"])
+        self.at = self.at.astype(np.int32)  # entries of one chunk
         self.plain = 10.0 ** np.maximum(_unpack_floats(r["logs"]).astype(float), -290)
-        pair, triple = _unpack_ints(r["pairs"]), _unpack_ints(r["triples"])
+        # counts are kept in as few bytes as the largest needs
+        kind = f"u{max(_width(r[c]) for c in ('counts', 'pairs', 'triples'))}"
+        self.words, pair, triple = (_unpack_ints(r[c]).astype(kind) for c in ("counts", "pairs", "triples"))
         texts = self.words[0]  # every text has one end symbol
         self.train = ~np.repeat(np.frombuffer(r["held"], bool), np.diff(np.append(self.starts, len(self.at))))
         self.leave_out = leave_out
@@ -633,7 +643,7 @@ class Spans:
     def order(self, k: int, x: slice) -> tuple[np.ndarray, np.ndarray]:
         """Share of the token among what followed its context, and the context's gate."""
         own = self.train[x].astype(np.int64) if self.leave_out else 0
-        count, context = (c[x] - own for c in self.counts[k])
+        count, context = (c[x].astype(np.int64) - own for c in self.counts[k])
         some = np.maximum(context, 1)
         return np.where(context > 0, count / some, 0.0), np.where(context > 0, 1 + np.log2(some).astype(np.int64), 0)
 
@@ -658,18 +668,21 @@ def fit_shares(joined: DataFrame) -> list[np.ndarray]:
     for order in range(2):
         known = list(shares)
 
+        def add(total: np.ndarray, r: pd.Series) -> None:
+            s = Spans(r, True)
+            for x in s.slices():
+                train = s.train[x]
+                seen, gate = (v[train] for v in s.order(order, x))
+                p, some = s.mixed(known, x)[train], seen > 0
+                step = np.zeros(len(seen), np.int64)
+                step[some] = 1 + np.clip((np.log2(seen[some] / p[some]) + RATIO_OCTAVES) * RATIO_STEPS, 0, steps - 1).astype(np.int64)
+                total += np.bincount(gate * (steps + 1) + step, minlength=len(total))
+
         def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros(SPAN_GATES * (steps + 1), np.int64)
             for pdf in frames:
                 for _, r in pdf.iterrows():
-                    s = Spans(r, True)
-                    for x in s.slices():
-                        train = s.train[x]
-                        seen, gate = (v[train] for v in s.order(order, x))
-                        p, some = s.mixed(known, x)[train], seen > 0
-                        step = np.zeros(len(seen), np.int64)
-                        step[some] = 1 + np.clip((np.log2(seen[some] / p[some]) + RATIO_OCTAVES) * RATIO_STEPS, 0, steps - 1).astype(np.int64)
-                        total += np.bincount(gate * (steps + 1) + step, minlength=len(total))
+                    add(total, r)
             at = np.flatnonzero(total)
             yield pd.DataFrame({"at": at, "n": total[at]})
 
@@ -735,19 +748,22 @@ def score(docs: DataFrame, held_out=None) -> DataFrame:
                 "counts binary, logs binary, pairs binary, triples binary"), "counted")
     shares = fit_shares(counted)
 
+    def of_chunk(r: pd.Series) -> pd.DataFrame:
+        spans = Spans(r, False)
+        base, known = np.log10((spans.words.astype(np.int64) + 1.0) / (n_train + n_distinct + 1.0)), (spans.words > 0).astype(np.int64)
+        s = np.add.reduceat(np.concatenate([np.log10(spans.mixed(shares, x)) for x in spans.slices()]), spans.starts)
+        b = np.add.reduceat(base[spans.at], spans.starts)
+        k = np.add.reduceat(known[spans.at], spans.starts)
+        n_bytes = _unpack_ints(r["bytes"])
+        return pd.DataFrame({
+            "doc_id": pd.array([None if x is None or x != x else int(x) for x in r["doc_ids"]], "Int64"), "held_out": np.frombuffer(r["held"], bool),
+            "n_tokens": np.diff(np.append(spans.starts, len(spans.at))), "n_known": k, "train_tokens": n_train, "base_score": b, "score": s,
+            "bits_per_byte": -s * np.log2(10) / np.maximum(1, n_bytes)})
+
     def total(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for _, r in pdf.iterrows():
-                spans = Spans(r, False)
-                base, known = np.log10((spans.words + 1.0) / (n_train + n_distinct + 1.0)), (spans.words > 0).astype(np.int64)
-                s = np.add.reduceat(np.concatenate([np.log10(spans.mixed(shares, x)) for x in spans.slices()]), spans.starts)
-                b = np.add.reduceat(base[spans.at], spans.starts)
-                k = np.add.reduceat(known[spans.at], spans.starts)
-                n_bytes = _unpack_ints(r["bytes"])
-                yield pd.DataFrame({
-                    "doc_id": pd.array([None if x is None or x != x else int(x) for x in r["doc_ids"]], "Int64"), "held_out": np.frombuffer(r["held"], bool),
-                    "n_tokens": np.diff(np.append(spans.starts, len(spans.at))), "n_known": k, "train_tokens": n_train, "base_score": b, "score": s,
-                    "bits_per_byte": -s * np.log2(10) / np.maximum(1, n_bytes)})
+                yield of_chunk(r)
 
     return counted.mapInPandas(
         total, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

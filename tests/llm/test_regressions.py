@@ -1,6 +1,7 @@
 """Inputs that once hung, crashed or gave wrong rows."""
 
 import time
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -159,3 +160,25 @@ def test_mixer_takes_rows_of_the_table():
     mixer = context_mixing.Mixer()
     context_mixing.train_mixer(mixer, table, np.array([7, 8], np.uint64), np.array([5, 2]), data, offsets, 0)
     assert mixer.bits[0].sum() > 0
+
+
+def test_a_chunks_counts_are_kept_in_few_bytes():
+    """Counts of a chunk's tokens were held in 8 bytes each, 44 bytes a token in all; what is read from them is the same."""
+    rng = np.random.default_rng(12)
+    n, words, texts = 300_000, 5_000, 300
+    at = rng.integers(1, words, n)
+    used = np.bincount(at, minlength=words)
+    used[0] = texts
+    counts, pairs, triples = rng.integers(0, 70_000, words), rng.integers(0, 300, n + texts), rng.integers(0, 9, n + texts)
+    pack = context_mixing._pack_ints
+    r = {"tokens": pack(context_mixing._ranks(used)[at]), "used": pack(used), "first": np.arange(0, n + 1, n // texts).tobytes(), "held": (np.arange(texts) % 7 == 2).tobytes(),
+         "counts": pack(counts), "logs": context_mixing._pack_floats(-rng.random(words)), "pairs": pack(pairs), "triples": pack(triples)}
+    tracemalloc.start()
+    s = context_mixing.Spans(r, True)
+    assert tracemalloc.get_traced_memory()[0] < 30 * n
+    tracemalloc.stop()
+    for k, (count, context) in enumerate(((pairs, context_mixing.before(counts[s.at], s.starts, counts[0])), (triples, context_mixing.before(pairs, s.starts, counts[0])))):
+        seen, gate = s.order(k, slice(0, len(at) + texts))
+        count, context = count - s.train, context - s.train
+        assert (seen == np.where(context > 0, count / np.maximum(1, context), 0)).all()
+        assert (gate == np.where(context > 0, 1 + np.log2(np.maximum(1, context)).astype(int), 0)).all()
