@@ -298,6 +298,28 @@ def test_repeats_match_brute_force(docs, empty, rows, hot, monkeypatch):
     assert repeats.repeats(empty).count() == 0
 
 
+def test_repeated_starts_of_a_large_class_are_exact(monkeypatch):
+    # a byte to the left and a place in the order that trade values are no repeat
+    m, lefts = 200, [b"z"] * 200
+    lefts[98], lefts[99] = b"b", b"a"
+    out = repeats.repeated_starts([b""] * m, lefts, [201] * m, [0] * m, [1] * m, 400)
+    assert not any(x.any() for x in out)
+    # the same marks as by comparing all pairs
+    rng = random.Random(3)
+    for _ in range(30):
+        m, length = rng.randint(13, 60), 6
+        suffixes = sorted("".join(rng.choice("ab") for _ in range(rng.randint(2, 6))).encode() for _ in range(m))
+        lefts = ["".join(rng.choice("cd") for _ in range(rng.randint(0, 4))).encode() for _ in range(m)]
+        shared = [0, *(repeats.common_prefix(a, b, 0) for a, b in zip(suffixes[:-1], suffixes[1:]))]
+        high = [len(x) for x in lefts]
+        low = [rng.randint(0, h) for h in high]
+        many = repeats.repeated_starts(suffixes, lefts, shared, low, high, length)
+        with monkeypatch.context() as patch:
+            patch.setattr(repeats, "PAIRWISE", m)
+            pairs = repeats.repeated_starts(suffixes, lefts, shared, low, high, length)
+        assert [x.tolist() for x in many] == [x.tolist() for x in pairs]
+
+
 def test_merge_orders_runs_and_prefixes():
     rng = random.Random(1)
     lists = [sorted("".join(rng.choice("ab") for _ in range(rng.randint(1, 9))).encode() for _ in range(rng.randint(0, 30))) for _ in range(5)]
