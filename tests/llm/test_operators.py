@@ -320,6 +320,24 @@ def test_repeated_starts_of_a_large_class_are_exact(monkeypatch):
         assert [x.tolist() for x in many] == [x.tolist() for x in pairs]
 
 
+def test_repeats_put_out_the_kept_text(spark):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("bcdfgaeiou") for _ in range(n))
+    prose = lambda n: " ".join(word(rng.randint(6, 9)) for _ in range(n))
+    passage, heads, tails = prose(60), [prose(30) + " 1", prose(30) + " 2"], ["x " + prose(30), "y " + prose(30)]
+    rows = [(1, heads[0] + passage + tails[0]), (2, heads[1] + passage + tails[1]), (3, prose(90)), (4, None),
+            (5, "é" + "ab" * 300), (6, "è" + "ab" * 300)]
+    got = {r.doc_id: r for r in repeats.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].text for i in (1, 2, 3, 4)] == [heads[0] + tails[0], heads[1] + tails[1], rows[2][1], ""]
+    assert [(got[i].n_removed, got[i].text) for i in (5, 6)] == [(600, "é"), (600, "è")]
+    assert hashlib.sha256(got[1].text.encode()).hexdigest() == got[1].kept_sha256
+    # of a character cut in two, the first byte alone is no text
+    cut = [(1, "a" * 10 + "é" + passage), (2, "b" * 10 + "ĩ" + passage)]
+    assert "é".encode()[1:] == "ĩ".encode()[1:]
+    got = {r.doc_id: r for r in repeats.repeats(spark.createDataFrame(cut, "doc_id long, text string")).collect()}
+    assert [(got[i].n_bytes - got[i].n_removed, got[i].text) for i in (1, 2)] == [(11, "a" * 10), (11, "b" * 10)]
+
+
 def test_merge_orders_runs_and_prefixes():
     rng = random.Random(1)
     lists = [sorted("".join(rng.choice("ab") for _ in range(rng.randint(1, 9))).encode() for _ in range(rng.randint(0, 30))) for _ in range(5)]
